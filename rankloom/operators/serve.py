@@ -58,5 +58,5 @@ def recommendation_listing(recs: DataFrame, movies: DataFrame) -> DataFrame:
         "user_id",
         "rank",
         F.coalesce("title", F.lit("Unknown")).alias("title"),
-        F.coalesce(F.format_string("%.2f", "score"), F.lit("N/A")).alias("score_text"),
+        F.when(F.col("score").isNull(), "N/A").otherwise(F.format_string("%.2f", "score")).alias("score_text"),
     )

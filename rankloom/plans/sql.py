@@ -167,11 +167,11 @@ SELECT user_id, movie_id, rating FROM train QUALIFY rating >= 4 OR max(rating) O
 VIEWS["rawprofile"] = """
 SELECT l.user_id, w.term, sum(l.rating * w.weight) AS s FROM liked l JOIN weights w ON l.movie_id = w.movie_id GROUP BY l.user_id, w.term"""
 VIEWS["profile"] = "SELECT user_id, term, s / sqrt(sum(s * s) OVER (PARTITION BY user_id)) AS weight FROM rawprofile"
-VIEWS["similar"] = """
+VIEWS["alike"] = """
 SELECT p.user_id, w.movie_id, sum(p.weight * w.weight) AS s FROM profile p JOIN weights w ON p.term = w.term GROUP BY p.user_id, w.movie_id"""
 VIEWS["simscored"] = """
 SELECT u.user_id, m.movie_id, round(coalesce(s.s, 0), 6) AS raw_score
-FROM (SELECT DISTINCT user_id FROM profile) u CROSS JOIN itemtext m LEFT JOIN similar s ON s.user_id = u.user_id AND s.movie_id = m.movie_id
+FROM (SELECT DISTINCT user_id FROM profile) u CROSS JOIN itemtext m LEFT JOIN alike s ON s.user_id = u.user_id AND s.movie_id = m.movie_id
 WHERE NOT EXISTS (SELECT 1 FROM seen x WHERE x.user_id = u.user_id AND x.movie_id = m.movie_id)"""
 VIEWS["simrecs"] = """
 SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY raw_score DESC, movie_id) AS INT) AS rank, movie_id, raw_score,
@@ -225,3 +225,12 @@ def metric_ctes(recs: str, relevant: str = "relevant", catalog: str = "train", b
         "metrics": f"""SELECT {b}count(*) AS users_evaluated, coalesce(avg(recall), 0) AS recall_at_k, coalesce(avg(average_precision), 0) AS map_at_k,
             coalesce(avg(hit), 0) AS hit_rate_at_k{'' if by else ', (SELECT coverage FROM covered) AS coverage'} FROM peruser{f' GROUP BY {by}' if by else ''}""",
     }
+
+
+def prefixed(prefix: str, ctes: dict[str, str]) -> dict[str, str]:
+    """The same CTEs under names with a prefix, so one query can hold two sets."""
+    names = "|".join(sorted(ctes, key=len, reverse=True))
+    return {
+        f"{prefix}{name}": re.sub(rf"\b(FROM|JOIN)(\s+\(?)({names})\b", rf"\1\2{prefix}\3", body)
+        for name, body in ctes.items()
+    }
