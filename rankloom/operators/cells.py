@@ -13,7 +13,8 @@ import math
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Rows per block; a cell sees at most about this many users and items.
@@ -22,57 +23,104 @@ ITEMS_PER_BLOCK = 16384
 # Scores held at once inside a cell.
 SLICE_SCORES = 4_000_000
 
-Scorer = Callable[[pd.DataFrame, pd.DataFrame], Callable[[int, int], np.ndarray]]
+Scorer = Callable[[pa.Table, pa.Table], Callable[[int, int], np.ndarray]]
+
+_RESULT = pa.schema(
+    [
+        ("user_id", pa.int64()),
+        ("variant", pa.int32()),
+        ("lo", pa.float64()),
+        ("hi", pa.float64()),
+        ("ids", pa.list_(pa.int64())),
+        ("scores", pa.list_(pa.float64())),
+    ]
+)
 
 
 def _block(col: str, blocks: int) -> Column:
     return F.pmod(F.xxhash64(col), F.lit(blocks)).cast("int")
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Indices of the k best finite scores, ties to the smaller id."""
-    finite = np.flatnonzero(np.isfinite(scores))
-    if len(finite) > k:
-        cut = np.partition(scores[finite], len(finite) - k)[len(finite) - k]
-        finite = finite[scores[finite] >= cut]
-    return finite[np.lexsort((ids[finite], -scores[finite]))][:k]
+def _numbers(table: pa.Table, name: str, dtype=np.float64) -> np.ndarray:
+    return table[name].to_numpy().astype(dtype, copy=False)
+
+
+def _lists(table: pa.Table, name: str, dtype=np.float64) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and flat values of a list column."""
+    column = table[name]
+    sizes = pc.list_value_length(column).to_numpy().astype(np.int64)
+    return sizes, pc.list_flatten(column).to_numpy().astype(dtype, copy=False)
+
+
+def _matrix(table: pa.Table, name: str) -> np.ndarray:
+    return _lists(table, name)[1].reshape(table.num_rows, -1)
+
+
+def _place(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Index of each wanted value in the sorted unique keys, -1 where absent."""
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, at, -1)
+
+
+def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per row the columns of the k best finite scores, best first, ties to the smaller column.
+
+    Returns the number per row and the row-major columns and scores.
+    """
+    n = scores.shape[1]
+    cut = np.partition(scores, n - k, axis=1)[:, n - k, None] if n > k else np.full((len(scores), 1), -np.inf)
+    rows, columns = np.nonzero((scores >= cut) & np.isfinite(scores))
+    values = scores[rows, columns]
+    order = np.lexsort((columns, -values, rows))
+    rows, columns, values = rows[order], columns[order], values[order]
+    starts = np.searchsorted(rows, np.arange(len(scores)))
+    keep = np.arange(len(rows)) - starts[rows] < k
+    return np.bincount(rows[keep], minlength=len(scores)), columns[keep], values[keep]
+
+
+def _result(names, variant, low, high, counts, ids, scores) -> pa.Table:
+    some = counts > 0
+    offsets = pa.array(np.concatenate([[0], np.cumsum(counts[some])]).astype(np.int32))
+    arrays = [
+        pa.array(names[some]),
+        pa.array(np.full(int(some.sum()), variant, np.int32)),
+        pa.array(low[some]),
+        pa.array(high[some]),
+        pa.ListArray.from_arrays(offsets, pa.array(ids)),
+        pa.ListArray.from_arrays(offsets, pa.array(scores)),
+    ]
+    return pa.Table.from_arrays(arrays, schema=_RESULT)
 
 
 def _cell_kernel(scorer: Scorer, k: int, digits: int, variants: int):
-    def run(cell: pd.DataFrame) -> pd.DataFrame:
-        users = cell[cell["kind"] == 0].reset_index(drop=True)
-        items = cell[cell["kind"] == 1].reset_index(drop=True)
-        seen = cell[cell["kind"] == 2]
-        out: list[tuple] = []
-        if len(users) and len(items):
-            ids = items["movie_id"].to_numpy(dtype=np.int64)
-            at_user = pd.Series(np.arange(len(users)), index=users["user_id"].to_numpy())
-            at_item = pd.Series(np.arange(len(items)), index=ids)
-            rows = at_user.reindex(seen["user_id"]).to_numpy(dtype=float)
-            cols = at_item.reindex(seen["movie_id"]).to_numpy(dtype=float)
-            both = ~(np.isnan(rows) | np.isnan(cols))
-            rows, cols = rows[both].astype(np.int64), cols[both].astype(np.int64)
-            by_row = np.argsort(rows, kind="stable")
-            rows, cols = rows[by_row], cols[by_row]
-            score_slice = scorer(users, items)
-            step = max(1, SLICE_SCORES // (len(items) * variants))
-            names = users["user_id"].to_numpy(dtype=np.int64)
-            for start in range(0, len(users), step):
-                stop = min(start + step, len(users))
-                scores = np.round(score_slice(start, stop), digits)
-                a, b = np.searchsorted(rows, [start, stop])
-                for variant in range(variants):
-                    part = scores[variant] if variants > 1 else scores
-                    part[rows[a:b] - start, cols[a:b]] = -np.inf
-                    for i in range(stop - start):
-                        best = _best(part[i], ids, k)
-                        if len(best):
-                            open_scores = part[i][np.isfinite(part[i])]
-                            out.append(
-                                (names[start + i], variant, open_scores.min(), open_scores.max(),
-                                 ids[best], part[i][best])
-                            )
-        return pd.DataFrame(out, columns=["user_id", "variant", "lo", "hi", "ids", "scores"])
+    def run(cell: pa.Table) -> pa.Table:
+        def of_kind(kind: int, key: str) -> pa.Table:
+            return cell.filter(pc.equal(cell["kind"], kind)).sort_by(key).combine_chunks()
+
+        users, items, seen = of_kind(0, "user_id"), of_kind(1, "movie_id"), of_kind(2, "user_id")
+        if not users.num_rows or not items.num_rows:
+            return _RESULT.empty_table()
+        names, ids = _numbers(users, "user_id", np.int64), _numbers(items, "movie_id", np.int64)
+        sizes, seen_items = _lists(seen, "seen_items", np.int64)
+        rows = _place(names, np.repeat(_numbers(seen, "user_id", np.int64), sizes))
+        columns = _place(ids, seen_items)
+        both = (rows >= 0) & (columns >= 0)
+        rows, columns = rows[both], columns[both]
+        score_slice = scorer(users, items)
+        step = max(1, SLICE_SCORES // (len(ids) * variants))
+        out = []
+        for start in range(0, len(names), step):
+            stop = min(start + step, len(names))
+            scores = np.round(score_slice(start, stop), digits).reshape(variants, stop - start, len(ids))
+            a, b = np.searchsorted(rows, [start, stop])
+            scores[:, rows[a:b] - start, columns[a:b]] = -np.inf
+            for variant in range(variants):
+                part = scores[variant]
+                finite = np.isfinite(part)
+                low = np.min(part, axis=1, where=finite, initial=np.inf)
+                counts, chosen, values = _best(part, k)
+                out.append(_result(names[start:stop], variant, low, part.max(axis=1), counts, ids[chosen], values))
+        return pa.concat_tables(out)
 
     return run
 
@@ -108,17 +156,14 @@ def score_cells(
     item_rows = items.withColumns(
         {"kind": F.lit(1), "_ib": _block("movie_id", item_blocks)}
     ).withColumn("_ub", every(user_blocks))
-    seen_rows = seen.select(
-        "user_id",
-        "movie_id",
-        F.lit(2).alias("kind"),
-        _block("user_id", user_blocks).alias("_ub"),
-        _block("movie_id", item_blocks).alias("_ib"),
+    # One row per user and item block; its list is no longer than the block.
+    seen_rows = (
+        seen.groupBy("user_id", _block("movie_id", item_blocks).alias("_ib"))
+        .agg(F.collect_set("movie_id").alias("seen_items"))
+        .withColumns({"kind": F.lit(2), "_ub": _block("user_id", user_blocks)})
     )
     rows = user_rows.unionByName(item_rows, True).unionByName(seen_rows, True)
-    # Only unseen pairs of users and items that take part matter to a cell; a seen pair is
-    # distinct, so a cell holds at most users x items of them.
-    cells = rows.groupBy("_ub", "_ib").applyInPandas(
+    cells = rows.groupBy("_ub", "_ib").applyInArrow(
         _cell_kernel(scorer, k, digits, variants),
         "user_id long, variant int, lo double, hi double, ids array<long>, scores array<double>",
     )
@@ -143,12 +188,10 @@ def score_cells(
     return ranked if variants > 1 else ranked.drop("variant")
 
 
-def dense_scorer(users: pd.DataFrame, items: pd.DataFrame):
+def dense_scorer(users: pa.Table, items: pa.Table):
     """Dot product of factor vectors plus both biases."""
-    left = np.stack(users["user_vector"].to_numpy()).astype(np.float64)
-    right = np.stack(items["item_vector"].to_numpy()).astype(np.float64)
-    user_bias = users["user_bias"].to_numpy(dtype=np.float64)
-    item_bias = items["item_bias"].to_numpy(dtype=np.float64)
+    left, right = _matrix(users, "user_vector"), _matrix(items, "item_vector")
+    user_bias, item_bias = _numbers(users, "user_bias"), _numbers(items, "item_bias")
 
     def scores(start: int, stop: int) -> np.ndarray:
         return left[start:stop] @ right.T + item_bias + user_bias[start:stop, None]
@@ -159,45 +202,47 @@ def dense_scorer(users: pd.DataFrame, items: pd.DataFrame):
 def blend_scorer(alphas: list[float], digits: int = 6) -> Scorer:
     """Per alpha: alpha * score scaled to the user's range + (1 - alpha) * item popularity."""
 
-    def prepare(users: pd.DataFrame, items: pd.DataFrame):
+    def prepare(users: pa.Table, items: pa.Table):
         base = dense_scorer(users, items)
-        low = users["min_score"].to_numpy(dtype=np.float64)[:, None]
-        span = users["max_score"].to_numpy(dtype=np.float64)[:, None] - low
-        popularity = items["score_norm"].to_numpy(dtype=np.float64)
+        low = _numbers(users, "min_score")[:, None]
+        span = _numbers(users, "max_score")[:, None] - low
+        popularity = _numbers(items, "score_norm")
 
         def scores(start: int, stop: int) -> np.ndarray:
             width = span[start:stop]
             scaled = (np.round(base(start, stop), digits) - low[start:stop]) / np.where(width > 0, width, 1.0)
             scaled = np.where(width > 0, scaled, 0.0)
-            blended = np.stack([a * scaled + (1.0 - a) * popularity for a in alphas])
-            return blended if len(alphas) > 1 else blended[0]
+            return np.stack([a * scaled + (1.0 - a) * popularity for a in alphas])
 
         return scores
 
     return prepare
 
 
-def sparse_scorer(users: pd.DataFrame, items: pd.DataFrame):
-    """Dot product of sparse vectors given as parallel term and weight arrays."""
-    sizes = items["item_terms"].map(len).to_numpy()
-    terms = np.concatenate([np.asarray(t, dtype=np.int64) for t in items["item_terms"]]) if sizes.sum() else np.empty(0, np.int64)
-    weights = np.concatenate([np.asarray(w, dtype=np.float64) for w in items["item_weights"]]) if sizes.sum() else np.empty(0)
-    owner = np.repeat(np.arange(len(items)), sizes)
-    order = np.argsort(terms, kind="stable")
-    terms, weights, owner = terms[order], weights[order], owner[order]
+def sparse_scorer(users: pa.Table, items: pa.Table):
+    """Dot product of sparse vectors given as parallel index and weight arrays.
 
-    def one(ids: np.ndarray, values: np.ndarray) -> np.ndarray:
-        starts = np.searchsorted(terms, ids, side="left")
-        counts = np.searchsorted(terms, ids, side="right") - starts
-        where = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-        return np.bincount(owner[where], weights[where] * np.repeat(values, counts), minlength=len(items))
+    A profile is spread over the indices the cell's items use, then every item sums its entries.
+    """
+    sizes, item_terms = _lists(items, "item_terms", np.int64)
+    item_weights = _lists(items, "item_weights")[1]
+    terms, slots = np.unique(item_terms, return_inverse=True)
+    filled = np.flatnonzero(sizes)
+    starts = (np.cumsum(sizes) - sizes)[filled]
+    user_sizes, user_terms = _lists(users, "user_terms", np.int64)
+    user_weights = _lists(users, "user_weights")[1]
+    ends = np.cumsum(user_sizes)
 
     def scores(start: int, stop: int) -> np.ndarray:
-        return np.stack(
-            [
-                one(np.asarray(users["user_terms"][i], dtype=np.int64), np.asarray(users["user_weights"][i], dtype=np.float64))
-                for i in range(start, stop)
-            ]
-        )
+        out = np.zeros((stop - start, items.num_rows))
+        if not len(terms):
+            return out
+        for i in range(start, stop):
+            own = slice(ends[i] - user_sizes[i], ends[i])
+            at = _place(terms, user_terms[own])
+            profile = np.zeros(len(terms))
+            profile[at[at >= 0]] = user_weights[own][at >= 0]
+            out[i - start, filled] = np.add.reduceat(item_weights * profile[slots], starts)
+        return out
 
     return scores

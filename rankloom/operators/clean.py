@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from rankloom.functions.columns import epoch_timestamp, numeric
+from rankloom.functions.columns import epoch_timestamp, numeric_column
 from rankloom.operators.skew import global_position, latest_per_key
 from rankloom.session import shared_dir
 
@@ -17,22 +17,22 @@ LOST_NULL, LOST_VALUE, LOST_REFERENCE, PASSED = "null", "invalid_value", "unknow
 def cast_ratings(df: DataFrame) -> DataFrame:
     """Stable types; text that is no number becomes NULL."""
     names = ("user_id", "movie_id", "rating", "timestamp")
-    out = df.withColumns({c: numeric(F.col(c)) for c in names})
+    out = df.withColumns({c: numeric_column(df, c) for c in names})
     return out.withColumn("timestamp_dt", epoch_timestamp(F.col("timestamp")))
 
 
 def cast_movies(df: DataFrame) -> DataFrame:
     return df.withColumns(
-        {"movie_id": numeric(F.col("movie_id")), **{c: F.col(c).cast("string") for c in ("title", "genres")}}
+        {"movie_id": numeric_column(df, "movie_id"), **{c: F.col(c).cast("string") for c in ("title", "genres")}}
     )
 
 
 def cast_users(df: DataFrame) -> DataFrame:
     """Optional columns are cast only where they exist."""
-    casts = {"user_id": numeric(F.col("user_id"))}
+    casts = {"user_id": numeric_column(df, "user_id")}
     for name in ("age", "occupation"):
         if name in df.columns:
-            casts[name] = numeric(F.col(name))
+            casts[name] = numeric_column(df, name)
     for name in ("gender", "zip_code"):
         if name in df.columns:
             casts[name] = F.col(name).cast("string")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rankloom.functions.columns import MAX_EPOCH_SECOND, numeric
+from rankloom.functions.columns import MAX_EPOCH_SECOND, numeric, numeric_column
 
 
 def missing_cells(df: DataFrame, table: str) -> DataFrame:
@@ -24,7 +24,7 @@ def duplicate_rows(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 def id_masks(df: DataFrame, column: str) -> DataFrame:
     """Why an id is unusable, as boolean columns."""
-    value = numeric(F.col(column))
+    value = numeric_column(df, column)
     raw = F.col(column)
     return df.withColumn("numeric_id", value).withColumns(
         {
@@ -43,7 +43,7 @@ def valid_id(value: Column) -> Column:
 
 def valid_ids(df: DataFrame, column: str) -> DataFrame:
     """Distinct usable ids of a reference table."""
-    value = numeric(F.col(column))
+    value = numeric_column(df, column)
     return df.filter(valid_id(value)).select(value.cast("long").alias(column)).distinct()
 
 
@@ -52,7 +52,7 @@ def unknown_references(df: DataFrame, column: str, reference: DataFrame) -> Data
 
     Rows are counted per id before the join, so a hot unknown id is one row.
     """
-    value = numeric(F.col(column))
+    value = numeric_column(df, column)
     counts = df.filter(valid_id(value)).groupBy(value.cast("long").alias(column)).agg(F.count(F.lit(1)).alias("n"))
     known = valid_ids(reference, column)
     lost = counts.join(known, column, "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"))

@@ -18,6 +18,15 @@ HOT_FLOOR = 1_000_000
 _LOCAL_BITS = 33
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores if the input has fewer partitions than cores.
+
+    For CPU-heavy steps on a few large files; a table of many files passes unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _ranged(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """Range-partitioned, sorted and checkpointed, with partition id and local row position.
 
@@ -69,17 +78,20 @@ def group_row_number(
     """``row_number`` and row count per group, exact under any skew.
 
     Ordinary groups use one window. Hot groups, found by a pre-aggregated count, are
-    ranked by a range-partitioned total order, so their rows spread over all tasks.
+    ranked by a range-partitioned total order, so their rows spread over all tasks. ``df`` is
+    read for the counts and again for the ranks: give it as a stored table.
     """
     window = Window.partitionBy(group)
     in_window = [
         F.row_number().over(window.orderBy(*order)).cast("long").alias(rank),
         F.count(F.lit(1)).over(window).alias(size),
     ]
+    total = df.count()
+    limit = max(hot_floor, total * hot_share)
+    if total <= limit:
+        return df.select("*", *in_window)
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias(size))
-    total, largest = counts.agg(F.sum(size), F.max(size)).first()
-    limit = max(hot_floor, (total or 0) * hot_share)
-    if (largest or 0) <= limit:
+    if counts.agg(F.max(size)).first()[0] <= limit:
         return df.select("*", *in_window)
 
     hot = F.broadcast(counts.filter(F.col(size) > limit))

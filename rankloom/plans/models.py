@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rankloom.functions.text import item_text, terms, tokens
-from rankloom.operators import bpr, clean, content, mf, metrics, popularity, topk
+from rankloom.operators import bpr, clean, content, mf, metrics, topk
+from rankloom.operators.skew import spread
 from rankloom.plans import views
 from rankloom.plans.registry import query
 from rankloom.plans.serving import K, METRIC_NAMES, METRIC_SQL, Shop
@@ -193,7 +194,7 @@ SELECT doc_id, CAST(len(w) AS INT) AS n_tokens, CAST(len(w) + greatest(len(w) -
 FROM (SELECT doc_id, {token_sql('text')} AS w FROM documents) t""")
 def _(spark, sf):
     """Whole documents: token and term counts and a digest of the tokens."""
-    docs = views.table(spark, sf, "documents").select("doc_id", tokens(F.col("text")).alias("w"))
+    docs = spread(views.table(spark, sf, "documents")).select("doc_id", tokens(F.col("text")).alias("w"))
     return docs.select("doc_id", F.size("w").alias("n_tokens"), F.size(terms(F.col("w"))).alias("n_terms"), F.md5(F.concat_ws(" ", "w")).alias("digest"))
 
 
@@ -211,7 +212,7 @@ DOCUMENTS = {
 
 @query("h14_document_vocabulary", with_views("SELECT term, df, corpus_count FROM docvocab", **DOCUMENTS))
 def _(spark, sf):
-    return content.vocabulary(content.term_counts(views.table(spark, sf, "documents"), "doc_id"))
+    return content.vocabulary(content.term_counts(spread(views.table(spark, sf, "documents")), "doc_id"))
 
 
 @query("h15_tfidf", with_views("SELECT movie_id, term, round(CAST(weight AS DOUBLE), 6) AS weight FROM weights"))
@@ -223,7 +224,7 @@ def _(spark, sf):
 @query("h15_document_tfidf", with_views("SELECT doc_id, term, round(CAST(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS DOUBLE), 6) AS weight FROM docraw", **DOCUMENTS))
 def _(spark, sf):
     docs = views.table(spark, sf, "documents")
-    counts = staged(content.term_counts(docs, "doc_id"), "terms")
+    counts = staged(content.term_counts(spread(docs), "doc_id"), "terms")
     return rounded(content.tfidf(counts, content.vocabulary(counts), docs.count(), "doc_id"), "weight")
 
 

@@ -45,10 +45,8 @@ def _(spark, sf):
     news = views.feedback(spark, sf).withColumnRenamed("ts", "timestamp").withColumn("src2", F.lit(0).cast("long"))
     news.repartition(4).write.parquet(source)
     stream = spark.readStream.schema(news.schema).option("maxFilesPerTrigger", 2).parquet(source)
-    run = state.upsert_feedback(stream, root, fresh_path(spark, "offsets"), NOW, TIE)
-    run.awaitTermination()
-    last = state.latest_version(spark, root, run.lastProgress["batchId"] + 1)
-    return spark.read.parquet(last).select("user_id", "movie_id", "rating", "timestamp")
+    state.append_feedback(stream, root, fresh_path(spark, "offsets"), NOW, TIE).awaitTermination()
+    return state.read_merged(spark, root, NOW, TIE).select("user_id", "movie_id", "rating", "timestamp")
 
 
 @query("m4_drift_stream", with_views("SELECT round(drift_score, 6) AS drift_score FROM driftscore"))

@@ -22,8 +22,13 @@ def ntz(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in names})
 
 
+def raw_layer(spark, sf) -> DataFrame:
+    """The faulty text rows as stored by an ingest step."""
+    return staged(views.interactions_raw(spark, sf), "raw")
+
+
 def raw_ratings(spark, sf) -> DataFrame:
-    return views.interactions_raw(spark, sf).drop("src1", "src2")
+    return raw_layer(spark, sf).drop("src1", "src2")
 
 
 def list_text(col: str):
@@ -202,12 +207,12 @@ def _(spark, sf):
 
 @query("b4_stable_casts", with_views('SELECT src1, src2, user_id, movie_id, rating, "timestamp", timestamp_dt FROM typed'))
 def _(spark, sf):
-    return ntz(clean.cast_ratings(views.interactions_raw(spark, sf)), "timestamp_dt")
+    return ntz(clean.cast_ratings(raw_layer(spark, sf)), "timestamp_dt")
 
 
 @query("b5_time_column", with_views("SELECT 'timestamp_dt' AS time_column, max(timestamp_dt) AS last_seen FROM cleaned"))
 def _(spark, sf):
-    rows = clean.clean_ratings(views.interactions_raw(spark, sf), views.movies(spark, sf), views.users(spark, sf), TIE)
+    rows = clean.clean_ratings(raw_layer(spark, sf), views.movies(spark, sf), views.users(spark, sf), TIE)
     name = cols.time_column(rows)
     return ntz(rows.agg(F.lit(name).alias("time_column"), F.max(name).alias("last_seen")), "last_seen")
 
@@ -268,14 +273,14 @@ SELECT src1, src2, user_id IS NULL AS is_null, user_id IS NOT NULL AND v IS NULL
        coalesce(v % 1 <> 0, false) AS non_integer, coalesce(v <= 0, false) AS non_positive, coalesce(v % 1 = 0 AND v > 0, false) AS valid
 FROM (SELECT *, TRY_CAST(user_id AS DOUBLE) AS v FROM raw) r"""))
 def _(spark, sf):
-    masks = quality.id_masks(views.interactions_raw(spark, sf), "user_id")
+    masks = quality.id_masks(raw_layer(spark, sf), "user_id")
     return masks.select("src1", "src2", "is_null", "non_numeric", "non_integer", "non_positive", "valid")
 
 
 @query("c4_valid_ids", with_views("""
 SELECT DISTINCT CAST(v AS BIGINT) AS user_id FROM (SELECT TRY_CAST(user_id AS DOUBLE) AS v FROM raw) r WHERE v % 1 = 0 AND v > 0"""))
 def _(spark, sf):
-    return quality.valid_ids(views.interactions_raw(spark, sf), "user_id")
+    return quality.valid_ids(raw_layer(spark, sf), "user_id")
 
 
 UNKNOWN_SQL = """(SELECT CASE WHEN EXISTS (SELECT 1 FROM {1} WHERE {0} > 0) THEN count(*) ELSE 0 END FROM (SELECT TRY_CAST({0} AS DOUBLE) AS v FROM raw) r
@@ -286,7 +291,7 @@ WHERE v % 1 = 0 AND v > 0 AND CAST(v AS BIGINT) NOT IN (SELECT {0} FROM {1} WHER
 SELECT 'user_id' AS reference, {UNKNOWN_SQL.format('user_id', 'users')} AS unknown
 UNION ALL SELECT 'movie_id', {UNKNOWN_SQL.format('movie_id', 'movies')} UNION ALL SELECT 'empty', CAST(0 AS BIGINT)"""))
 def _(spark, sf):
-    raw, users = views.interactions_raw(spark, sf), views.users(spark, sf)
+    raw, users = raw_layer(spark, sf), views.users(spark, sf)
     parts = {
         "user_id": quality.unknown_references(raw, "user_id", users),
         "movie_id": quality.unknown_references(raw, "movie_id", views.movies(spark, sf)),
@@ -362,7 +367,7 @@ CLEAN_COLUMNS = 'src1, src2, user_id, movie_id, rating, "timestamp", timestamp_d
 
 
 def _typed(spark, sf):
-    return clean.cast_ratings(views.interactions_raw(spark, sf))
+    return clean.cast_ratings(raw_layer(spark, sf))
 
 
 def _known(spark, sf):
@@ -371,7 +376,7 @@ def _known(spark, sf):
 
 
 def _cleaned(spark, sf):
-    return clean.clean_ratings(views.interactions_raw(spark, sf), views.movies(spark, sf), views.users(spark, sf), TIE)
+    return clean.clean_ratings(raw_layer(spark, sf), views.movies(spark, sf), views.users(spark, sf), TIE)
 
 
 @query("d1_null_row_drop", with_views(f"SELECT {CLEAN_COLUMNS} FROM nonnull"))
@@ -528,7 +533,7 @@ def _(spark, sf):
 SELECT user_id, movie_id, CASE WHEN n < 40 THEN 'train' ELSE split END AS split FROM split"""))
 def _(spark, sf):
     """Users with fewer than 40 interactions stay in train."""
-    rows = views.ratings(spark, sf).select("user_id", "movie_id", "ts")
+    rows = staged(views.ratings(spark, sf).select("user_id", "movie_id", "ts"), "ratings")
     return splitting.temporal_split(rows, "ts", 0.1, 0.2, min_interactions=40).drop("ts")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rankloom.operators import clean, split as splitting
+from rankloom.plans.staging import staged
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,7 +135,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ratings(spark, sf_dir).select("user_id", "movie_id", "rating", "ts")
+    rows = staged(ratings(spark, sf_dir).select("user_id", "movie_id", "rating", "ts"), "ratings")
     return splitting.temporal_split(rows, "ts", val_ratio=0.1, test_ratio=0.2, min_interactions=3)
 
 

@@ -1,8 +1,8 @@
 """Stream-maintained tables: feedback upsert and served-item counts.
 
-Each micro-batch writes one new version of a Parquet table, named by the batch, and reads the
-version before it. A batch that is run again after a failure reads the same input version and
-overwrites its own output, so every version is the same however often it is made.
+Every micro-batch writes only what belongs to it, into a folder named by the batch. A batch that
+is run again after a failure overwrites its own folder, so the result is the same however often
+it is run.
 """
 
 from __future__ import annotations
@@ -21,35 +21,62 @@ def version_path(root: str, batch_id: int) -> str:
     return f"{root}/v{batch_id:010d}"
 
 
+def _is_complete(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, f"{path}/_SUCCESS")
+
+
 def latest_version(spark: SparkSession, root: str, before: int) -> str | None:
     """The newest complete version older than batch ``before``."""
-    for batch_id in range(before - 1, -2, -1):
-        path = version_path(root, batch_id) if batch_id >= 0 else f"{root}/base"
-        if path_exists(spark, f"{path}/_SUCCESS"):
+    for batch_id in range(before - 1, -1, -1):
+        path = version_path(root, batch_id)
+        if _is_complete(spark, path):
             return path
     return None
 
 
-def _versioned(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None]) -> StreamingQuery:
+def _each_batch(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None]) -> StreamingQuery:
     return (
         stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(step).start()
     )
 
 
-def upsert_feedback(stream: DataFrame, root: str, checkpoint: str, now: int, tie_break: tuple[str, ...] = ()) -> StreamingQuery:
-    """Merge feedback into the table below ``root`` (start it with a ``base`` version); latest wins."""
+def append_feedback(
+    stream: DataFrame, root: str, checkpoint: str, now: int, tie_break: tuple[str, ...] = ()
+) -> StreamingQuery:
+    """Feedback batches next to the table ``root/base``; the table itself is not rewritten.
+
+    A batch shrinks to its latest row per (user, movie) before it is stored, so its cost grows
+    with the batch, not with the table.
+    """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        base = spark.read.parquet(latest_version(spark, root, batch_id))
         news = normalize_feedback(batch, now, tie_break, check_empty=False)
-        merge_feedback(base, news, now, tie_break).write.mode("overwrite").parquet(version_path(root, batch_id))
+        merge_feedback(news.limit(0), news, now, tie_break).write.mode("overwrite").parquet(
+            version_path(f"{root}/news", batch_id)
+        )
+
+    return _each_batch(stream, checkpoint, step)
+
+
+def read_merged(spark: SparkSession, root: str, now: int, tie_break: tuple[str, ...] = (), upto: int | None = None) -> DataFrame:
+    """Base and all feedback batches (up to batch ``upto``) as one table, latest row per (user, movie)."""
+    base = spark.read.parquet(f"{root}/base")
+    if upto is None:
+        stored = f"{root}/news/v*" if path_exists(spark, f"{root}/news") else None
+        news = spark.read.parquet(stored) if stored else None
+    else:
+        paths = [p for p in (version_path(f"{root}/news", i) for i in range(upto + 1)) if _is_complete(spark, p)]
+        news = spark.read.parquet(*paths) if paths else None
+    return merge_feedback(base, news, now, tie_break)
+
 
-    return _versioned(stream, checkpoint, step)
+def compact(spark: SparkSession, root: str, target: str, now: int, tie_break: tuple[str, ...] = ()) -> None:
+    """The merged table as the base of a new root; the old root stays readable until readers have moved."""
+    read_merged(spark, root, now, tie_break).write.mode("overwrite").parquet(f"{target}/base")
 
 
 def track_drift(stream: DataFrame, train_share: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Running served-item counts and, per micro-batch, their divergence from the training shares."""
+    """Running served-item counts (one row per item) and, per micro-batch, their divergence from training."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -62,4 +89,4 @@ def track_drift(stream: DataFrame, train_share: DataFrame, root: str, checkpoint
         score = divergence(train_share, normalize(spark.read.parquet(here), "served"))
         score.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(version_path(f"{root}/drift", batch_id))
 
-    return _versioned(stream, checkpoint, step)
+    return _each_batch(stream, checkpoint, step)
