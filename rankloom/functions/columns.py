@@ -79,6 +79,16 @@ def numeric_column(df: DataFrame, name: str) -> Column:
     return numeric(F.col(name))
 
 
+def with_numbers(df: DataFrame, names: Iterable[str], suffix: str = "_number") -> DataFrame:
+    """Adds the numeric value of each named column.
+
+    The values pass through a one-row generator: the optimizer copies a plain projection into
+    every later filter and join condition and would parse each text again there.
+    """
+    values = F.struct(*[numeric_column(df, n).alias(n + suffix) for n in names])
+    return df.select("*", F.inline(F.array(values)))
+
+
 def epoch_timestamp(seconds: Column) -> Column:
     """Timestamp of epoch seconds, NULL outside the range a nanosecond clock holds."""
     inside = (seconds >= -MAX_EPOCH_SECOND) & (seconds <= MAX_EPOCH_SECOND)

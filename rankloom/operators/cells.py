@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # Rows per block; a cell sees at most about this many users and items.
 USERS_PER_BLOCK = 16384
 ITEMS_PER_BLOCK = 16384
+# Tasks of one scoring job; beyond it a task runs several cells one after the other.
+MAX_TASKS = 100_000
 # Scores held at once inside a cell.
 SLICE_SCORES = 4_000_000
 
@@ -138,14 +140,15 @@ def score_cells(
 ) -> DataFrame:
     """The K best unseen items of each user, with the range of all the user's unseen scores.
 
-    ``users`` and ``items`` hold their id and columns the scorer reads; names must differ.
+    ``users`` and ``items`` hold their id and columns the scorer reads; names must differ. Both
+    are counted first, so give them as stored tables.
     """
     spark = users.sparkSession
     item_blocks = max(1, math.ceil(items.count() / items_per_block))
-    # At least one cell per core where there are enough users to share out.
+    # Several cells per core where there are enough users to share out.
     n_users = users.count()
-    wanted = math.ceil(spark.sparkContext.defaultParallelism / item_blocks)
-    user_blocks = max(math.ceil(n_users / users_per_block), min(wanted, math.ceil(n_users / 256)), 1)
+    wanted = math.ceil(4 * spark.sparkContext.defaultParallelism / item_blocks)
+    user_blocks = max(math.ceil(n_users / users_per_block), min(wanted, math.ceil(n_users / 128)), 1)
 
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -163,7 +166,11 @@ def score_cells(
         .withColumns({"kind": F.lit(2), "_ub": _block("user_id", user_blocks)})
     )
     rows = user_rows.unionByName(item_rows, True).unionByName(seen_rows, True)
-    cells = rows.groupBy("_ub", "_ib").applyInArrow(
+    # A cell is small in bytes and long in time: a stated number of partitions keeps small
+    # shuffle partitions from being merged into few tasks.
+    numbered = rows.withColumn("_cell", F.col("_ub") * item_blocks + F.col("_ib")).drop("_ub", "_ib")
+    tasks = min(user_blocks * item_blocks, max(MAX_TASKS, spark.sparkContext.defaultParallelism))
+    cells = numbered.repartition(tasks, "_cell").groupBy("_cell").applyInArrow(
         _cell_kernel(scorer, k, digits, variants),
         "user_id long, variant int, lo double, hi double, ids array<long>, scores array<double>",
     )

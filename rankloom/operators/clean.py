@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from rankloom.functions.columns import epoch_timestamp, numeric_column
+from rankloom.functions.columns import epoch_timestamp, numeric_column, with_numbers
 from rankloom.operators.skew import global_position, latest_per_key
-from rankloom.session import shared_dir
+from rankloom.session import fresh_path
 
 REQUIRED = ("user_id", "movie_id", "rating", "timestamp", "timestamp_dt")
 LOST_NULL, LOST_VALUE, LOST_REFERENCE, PASSED = "null", "invalid_value", "unknown_reference", "passed"
@@ -17,7 +17,8 @@ LOST_NULL, LOST_VALUE, LOST_REFERENCE, PASSED = "null", "invalid_value", "unknow
 def cast_ratings(df: DataFrame) -> DataFrame:
     """Stable types; text that is no number becomes NULL."""
     names = ("user_id", "movie_id", "rating", "timestamp")
-    out = df.withColumns({c: numeric_column(df, c) for c in names})
+    parsed = with_numbers(df, names)
+    out = parsed.select(*[F.col(f"{c}_number").alias(c) if c in names else F.col(c) for c in df.columns])
     return out.withColumn("timestamp_dt", epoch_timestamp(F.col("timestamp")))
 
 
@@ -150,7 +151,7 @@ def frequency_filter(df: DataFrame, min_user: int, min_movie: int) -> tuple[Data
     """Drop rare users, then rare movies, until a pass removes nothing.
 
     The loop runs on pre-aggregated (user, movie, weight) edges; every pass is one job that
-    checkpoints the remaining edges to the shared folder and observes its counts on the way.
+    writes the remaining edges to the shared folder and observes their number on the way.
     """
     audit = {
         "min_user_interactions": min_user,
@@ -162,32 +163,28 @@ def frequency_filter(df: DataFrame, min_user: int, min_movie: int) -> tuple[Data
     }
     if min_user <= 0 and min_movie <= 0:
         return df, audit
-    shared_dir(df.sparkSession)
-    seen = Observation()
-    edges = (
-        df.groupBy("user_id", "movie_id")
-        .agg(F.count(F.lit(1)).alias("weight"))
-        .observe(seen, F.coalesce(F.sum("weight"), F.lit(0)).alias("rows"))
-        .checkpoint()
-    )
-    first_rows = rows = seen.get["rows"]
+    spark, root = df.sparkSession, fresh_path(df.sparkSession, "core")
+
+    def store(edges: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """The edges as a stored table, and how many rows they stand for."""
+        seen = Observation()
+        edges.observe(seen, F.coalesce(F.sum("weight"), F.lit(0)).alias("rows")).write.parquet(f"{root}/{name}")
+        return spark.read.parquet(f"{root}/{name}"), seen.get["rows"]
+
+    edges, rows = store(df.groupBy("user_id", "movie_id").agg(F.count(F.lit(1)).alias("weight")), "pass-0")
+    first_rows = rows
     while True:
         audit["frequency_filter_iterations"] += 1
-        kept = edges
-        losses = {}
+        kept, losses = edges, {}
         for key, least in (("user_id", min_user), ("movie_id", min_movie)):
             if least > 0:
-                kept, counts = _keep_frequent(kept, key, least)
-                losses[key] = counts
-        seen = Observation()
-        kept = kept.observe(seen, F.coalesce(F.sum("weight"), F.lit(0)).alias("rows")).checkpoint()
-        left = seen.get["rows"]
+                kept, losses[key] = _keep_frequent(kept, key, least)
+        kept, left = store(kept, f"pass-{audit['frequency_filter_iterations']}")
         if left == rows:
             break
-        if "user_id" in losses:
-            audit["users_removed_by_frequency_filter"] += losses["user_id"].filter(F.col("_n") < min_user).count()
-        if "movie_id" in losses:
-            audit["movies_removed_by_frequency_filter"] += losses["movie_id"].filter(F.col("_n") < min_movie).count()
+        for key, name, least in (("user_id", "users", min_user), ("movie_id", "movies", min_movie)):
+            if key in losses:
+                audit[f"{name}_removed_by_frequency_filter"] += losses[key].filter(F.col("_n") < least).count()
         edges, rows = kept, left
     audit["ratings_rows_removed_by_frequency_filter"] = first_rows - rows
     if rows == first_rows:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from rankloom.operators.cells import blend_scorer, dense_scorer, score_cells
 from rankloom.operators.metrics import ranking_metrics
 from rankloom.operators.topk import factor_item_columns, factor_user_columns
+from rankloom.session import staged
 
 
 def blended_top_k(
@@ -23,7 +24,7 @@ def blended_top_k(
     """
     left, right = factor_user_columns(users), factor_item_columns(items)
     ranges = score_cells(left, right, seen, dense_scorer, 1, digits, **blocks).select("user_id", "min_score", "max_score")
-    ranged_users = left.join(ranges, "user_id")
+    ranged_users = staged(left.join(ranges, "user_id"), "ranges")
     priced = right.join(popularity.select("movie_id", "score_norm"), "movie_id", "left").fillna(0.0, ["score_norm"])
     alphas = [float(a) for a in alphas]
     ranked = score_cells(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rankloom.functions.columns import MAX_EPOCH_SECOND, numeric, numeric_column
+from rankloom.functions.columns import MAX_EPOCH_SECOND, with_numbers
 
 
 def missing_cells(df: DataFrame, table: str) -> DataFrame:
@@ -24,9 +24,8 @@ def duplicate_rows(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 def id_masks(df: DataFrame, column: str) -> DataFrame:
     """Why an id is unusable, as boolean columns."""
-    value = numeric_column(df, column)
     raw = F.col(column)
-    return df.withColumn("numeric_id", value).withColumns(
+    return with_numbers(df, [column]).withColumnRenamed(f"{column}_number", "numeric_id").withColumns(
         {
             "is_null": raw.isNull(),
             "non_numeric": raw.isNotNull() & F.col("numeric_id").isNull(),
@@ -43,8 +42,8 @@ def valid_id(value: Column) -> Column:
 
 def valid_ids(df: DataFrame, column: str) -> DataFrame:
     """Distinct usable ids of a reference table."""
-    value = numeric_column(df, column)
-    return df.filter(valid_id(value)).select(value.cast("long").alias(column)).distinct()
+    value = F.col(f"{column}_number")
+    return with_numbers(df.select(column), [column]).filter(valid_id(value)).select(value.cast("long").alias(column)).distinct()
 
 
 def unknown_references(df: DataFrame, column: str, reference: DataFrame) -> DataFrame:
@@ -52,8 +51,9 @@ def unknown_references(df: DataFrame, column: str, reference: DataFrame) -> Data
 
     Rows are counted per id before the join, so a hot unknown id is one row.
     """
-    value = numeric_column(df, column)
-    counts = df.filter(valid_id(value)).groupBy(value.cast("long").alias(column)).agg(F.count(F.lit(1)).alias("n"))
+    value = F.col(f"{column}_number")
+    usable = with_numbers(df.select(column), [column]).filter(valid_id(value))
+    counts = usable.groupBy(value.cast("long").alias(column)).agg(F.count(F.lit(1)).alias("n"))
     known = valid_ids(reference, column)
     lost = counts.join(known, column, "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"))
     return lost.select(
@@ -62,7 +62,8 @@ def unknown_references(df: DataFrame, column: str, reference: DataFrame) -> Data
 
 
 def rating_checks() -> dict[str, Column]:
-    value = numeric(F.col("rating"))
+    """Aggregates over a table ``with_numbers`` of rating."""
+    value = F.col("rating_number")
     raw = F.col("rating")
     return {
         "rating_out_of_range_rows": F.count_if(value.isNotNull() & ((value < 1) | (value > 5))),
@@ -72,8 +73,8 @@ def rating_checks() -> dict[str, Column]:
 
 
 def timestamp_checks(now: int) -> dict[str, Column]:
-    """``now`` is an epoch second."""
-    value = numeric(F.col("timestamp"))
+    """Aggregates over a table ``with_numbers`` of timestamp; ``now`` is an epoch second."""
+    value = F.col("timestamp_number")
     raw = F.col("timestamp")
     return {
         "timestamp_null_rows": F.count_if(raw.isNull()),
@@ -92,9 +93,9 @@ def quality_summary(ratings: DataFrame, movies: DataFrame, users: DataFrame, now
     """All counters as one row; scalar results of other tables enter as subqueries."""
 
     def invalid(column: str) -> Column:
-        return F.count_if(~valid_id(numeric(F.col(column))))
+        return F.count_if(~valid_id(F.col(f"{column}_number")))
 
-    row = ratings.agg(
+    row = with_numbers(ratings, ["user_id", "movie_id", "rating", "timestamp"]).agg(
         _missing_total(ratings).alias("ratings_missing_cells"),
         invalid("user_id").alias("invalid_user_id_rows"),
         invalid("movie_id").alias("invalid_movie_id_rows"),

@@ -11,7 +11,8 @@ from rankloom.plans import views
 from rankloom.plans.registry import query
 from rankloom.plans.serving import K, METRIC_NAMES, METRIC_SQL, Shop
 from rankloom.plans.sql import metric_ctes, scale_sql, term_rows, token_sql, with_views
-from rankloom.plans.staging import rounded, staged
+from rankloom.plans.staging import rounded
+from rankloom.session import staged
 
 # ---- bias model and factorisation
 
@@ -232,7 +233,7 @@ class ContentShop(Shop):
     def __init__(self, spark, sf):
         super().__init__(spark, sf)
         vectors = content.item_vectors(views.movies(spark, sf))
-        self.vocabulary = staged(vectors.vocabulary, "vocabulary")
+        self.vocabulary = vectors.vocabulary
         self.items = staged(vectors.packed, "items")
         self.profiles = staged(content.user_profiles(self.train, self.items), "profiles")
 

@@ -8,9 +8,9 @@ from rankloom.operators import drift, eda, feedback, monitor, popularity
 from rankloom.plans import views
 from rankloom.plans.registry import query
 from rankloom.plans.sql import with_views
-from rankloom.plans.staging import rounded, staged
+from rankloom.plans.staging import rounded
 from rankloom.plans.tables import NOW, TIE
-from rankloom.session import fresh_path
+from rankloom.session import fresh_path, staged
 from rankloom.sources import writers
 
 

@@ -8,9 +8,9 @@ from rankloom.operators import dispatch, hybrid, metrics, popularity, serve, top
 from rankloom.plans import views
 from rankloom.plans.registry import query
 from rankloom.plans.sql import metric_ctes, prefixed, scale_sql, with_views
-from rankloom.plans.staging import rounded, staged, staged_split
+from rankloom.plans.staging import rounded, staged_split
 from rankloom.plans.tables import list_text
-from rankloom.session import fresh_path
+from rankloom.session import fresh_path, staged
 from rankloom.sources import readers, writers
 
 K = 10
@@ -22,7 +22,7 @@ class Shop:
     def __init__(self, spark, sf):
         parts = staged_split(views.labelled_split(spark, sf))
         self.train, self.val, self.test = parts["train"], parts["val"], parts["test"]
-        self.seen = popularity.seen_pairs(self.train)
+        self.seen = staged(popularity.seen_pairs(self.train), "seen")
         self.popularity = popularity.item_popularity(self.train, time="ts")
         self.users = self.train.select("user_id").distinct()
 

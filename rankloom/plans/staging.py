@@ -1,4 +1,4 @@
-"""Intermediate tables in the shared folder, and the rounding used for comparisons."""
+"""The split as a stored table, and the rounding used for comparisons."""
 
 from __future__ import annotations
 
@@ -7,13 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from rankloom.session import fresh_path
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Written once to the shared folder and read back: several readers, one computation."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def staged_split(labelled: DataFrame) -> dict[str, DataFrame]:
     """The labelled rows written once, partitioned by label; each part reads its own files."""
     path = fresh_path(labelled.sparkSession, "split")

@@ -10,9 +10,9 @@ from rankloom.plans import views
 from rankloom.plans.monitoring import COLD, MERGED_SQL, N
 from rankloom.plans.registry import query
 from rankloom.plans.sql import with_views
-from rankloom.plans.staging import rounded, staged
+from rankloom.plans.staging import rounded
 from rankloom.plans.tables import LOG_ROWS_SQL, NOW, TIE, flat_logs, json_lines
-from rankloom.session import fresh_path
+from rankloom.session import fresh_path, staged
 from rankloom.streaming import logs, state
 
 

@@ -9,8 +9,8 @@ from rankloom.operators import clean, popularity, quality, split as splitting
 from rankloom.plans import views
 from rankloom.plans.registry import query
 from rankloom.plans.sql import with_views
-from rankloom.plans.staging import rounded, staged, staged_split
-from rankloom.session import fresh_path
+from rankloom.plans.staging import rounded, staged_split
+from rankloom.session import fresh_path, staged
 from rankloom.sources import model_store, readers, writers
 
 # 2026-01-01, the "now" of the future-timestamp check.
@@ -316,12 +316,14 @@ count(*) FILTER (WHERE {_T} <= 9223372036 AND {_T} > {NOW}) AS timestamp_future_
 
 @query("c6_rating_checks", with_views(f"SELECT {RATING_CHECK_SQL} FROM raw"))
 def _(spark, sf):
-    return raw_ratings(spark, sf).agg(*[c.alias(n) for n, c in quality.rating_checks().items()])
+    rows = cols.with_numbers(raw_ratings(spark, sf), ["rating"])
+    return rows.agg(*[c.alias(n) for n, c in quality.rating_checks().items()])
 
 
 @query("c7_timestamp_checks", with_views(f"SELECT {TIME_CHECK_SQL} FROM raw"))
 def _(spark, sf):
-    return raw_ratings(spark, sf).agg(*[c.alias(n) for n, c in quality.timestamp_checks(NOW).items()])
+    rows = cols.with_numbers(raw_ratings(spark, sf), ["timestamp"])
+    return rows.agg(*[c.alias(n) for n, c in quality.timestamp_checks(NOW).items()])
 
 
 @query("c8_duplicate_pairs", with_views(f"SELECT {DUP_SQL.format('raw', 'user_id, movie_id')} AS duplicates"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rankloom.operators import clean, split as splitting
-from rankloom.plans.staging import staged
+from rankloom.session import staged
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
