@@ -50,7 +50,8 @@ def popular_unseen(
     head = items.filter(F.col("item_rank") <= head_rows)
     tail = items.filter(F.col("item_rank") > head_rows)
     candidates = ranks.filter(F.col("item_rank") <= head_rows).join(F.broadcast(head), "item_rank").unionByName(
-        ranks.filter(F.col("item_rank") > head_rows).join(tail, "item_rank")
+        # The size of unrolled ranks is not known to the planner: shuffle, never broadcast them.
+        ranks.filter(F.col("item_rank") > head_rows).join(tail.hint("merge"), "item_rank")
     )
     unseen = candidates.join(seen, ["user_id", "movie_id"], "left_anti")
     return first_k(unseen, k, [F.col("item_rank")]).select("user_id", "rank", "movie_id", "item_rank")
