@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,9 +36,27 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
     shared_dir(spark)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Kernels are pickled by reference, so a worker must be able to import them wherever it runs.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_rankloom_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="rankloom-package-"), "rankloom_package.zip")
+    with zipfile.ZipFile(archive, "w") as target:
+        for source in sorted(package.rglob("*.py")):
+            target.write(source, source.relative_to(package.parent))
+    context.addPyFile(archive)
+    context._rankloom_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can see: ``spark.checkpoint.dir`` of the session.
 
