@@ -1,0 +1,5 @@
+"""The stages of the corpus pipeline."""
+
+from __future__ import annotations
+
+STAGES: list = []
