@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rankloom.llm.decontaminate import benchmark_overlap
+from rankloom.llm.line_dedup import deduplicate_lines
 from rankloom.llm.ngram_join import jaccard_components
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,3 +32,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query()
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_overlap(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = deduplicate_lines(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_lines", "n_removed", "text")
