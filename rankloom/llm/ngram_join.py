@@ -24,17 +24,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm.exchange import Columns, by_bucket, gather, scatter, schema
+from rankloom.llm.exchange import Columns, by_bucket, scatter, schema
 from rankloom.llm.graph import components
 from rankloom.llm.textbatch import (
-    gram_hashes, lowered, mix, passes, span_hashes, spread, text_buffers, word_spans,
+    gram_hashes, lowered, mix, passes, prepare, span_hashes, spread, text_buffers, word_spans,
 )
-from rankloom.session import configure, staged
+from rankloom.session import staged
 
 WORDS = 5
 PERCENT = 75
 #: Hashes that one task of an exchange holds on average.
-BUCKET_ENTRIES = 2_000_000
+BUCKET_ENTRIES = 500_000
 #: Most runs that may be routed past the exchange because a large share of all documents has them.
 HOT_RUNS = 1 << 18
 #: Longest extension of a prefix.
@@ -417,7 +417,7 @@ def jaccard_components(
     Two rows link when their sets of ``words``-word runs have a Jaccard similarity of
     ``percent`` / 100 or more; component_id is the smallest id reachable by links.
     """
-    spark: SparkSession = configure(docs.sparkSession)
+    spark: SparkSession = prepare(docs.sparkSession)
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     classes = staged(source.mapInArrow(_classes(words, "doc_id", "text"), _CLASS), "classes")
     seen = classes.agg(F.count(F.lit(1)).alias("docs"), F.sum("n_shingles").alias("runs")).first()

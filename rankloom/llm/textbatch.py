@@ -6,16 +6,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
+from rankloom.session import configure
+
+#: Rows that one Arrow batch of texts holds, so that JVM and worker hold few MB of text at once.
+BATCH_ROWS = 500
 #: Bytes hashed at once; the tables of powers have this length.
 WINDOW = 1 << 20
 #: Bytes of text that one numpy pass takes (a longer text is a pass of its own).
-PASS_BYTES = 4 << 20
+PASS_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _U = np.uint64
 _powers: dict[str, np.ndarray] = {}
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session settings of this subpackage: those of the library and small Arrow batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return configure(spark)
+
+
 def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     if "up" not in _powers or len(_powers["up"]) < size:
         size = max(size, WINDOW)
