@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rankloom.llm.decontaminate import benchmark_overlap
 from rankloom.llm.line_dedup import deduplicate_lines
 from rankloom.llm.ngram_join import jaccard_components
+from rankloom.llm.packing import pack
+from rankloom.llm.quality import quality_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,3 +46,13 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = deduplicate_lines(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query()
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
