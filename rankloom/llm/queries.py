@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rankloom.llm.decontaminate import benchmark_overlap
+from rankloom.llm.exact_dedup import ORACLE as EXACT_SQL
+from rankloom.llm.exact_dedup import exact_duplicates
 from rankloom.llm.line_dedup import deduplicate_lines
 from rankloom.llm.ngram_join import jaccard_components
 from rankloom.llm.packing import pack
@@ -56,3 +58,8 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query(EXACT_SQL)
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
