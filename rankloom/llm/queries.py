@@ -14,6 +14,7 @@ from rankloom.llm.line_dedup import deduplicate_lines
 from rankloom.llm.ngram_join import jaccard_components
 from rankloom.llm.packing import pack
 from rankloom.llm.quality import quality_scores
+from rankloom.llm.token_counts import sentencepiece_pieces, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,3 +64,9 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(EXACT_SQL)
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = sentencepiece_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts(table(spark, sf_dir, "documents"), pieces)
