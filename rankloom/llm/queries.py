@@ -13,6 +13,7 @@ from rankloom.llm.exact_dedup import exact_duplicates
 from rankloom.llm.line_dedup import deduplicate_lines
 from rankloom.llm.ngram_join import jaccard_components
 from rankloom.llm.packing import pack
+from rankloom.llm.pii import personal_data
 from rankloom.llm.quality import quality_scores
 from rankloom.llm.token_counts import sentencepiece_pieces, token_counts
 
@@ -70,3 +71,8 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = sentencepiece_pieces(public_tokenizers.path("piece_bpe_32k.model"))
     return token_counts(table(spark, sf_dir, "documents"), pieces)
+
+
+@query()
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
