@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
+from rankloom.llm.textbatch import release
+
 Columns = dict[str, np.ndarray]
 
 
@@ -53,7 +55,11 @@ def by_bucket(
     """
 
     def one(table: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(list(work(gather(table, dtypes))) or [empty], schema=empty.schema)
+        columns = gather(table, dtypes)
+        del table
+        done = pa.Table.from_batches(list(work(columns)) or [empty], schema=empty.schema)
+        release()
+        return done
 
     empty = pa.RecordBatch.from_pylist([], schema=to_arrow_schema(_parse_datatype_string(out)))
     return df.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(one, out)

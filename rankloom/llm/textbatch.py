@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,15 @@ def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def release() -> None:
+    """Give memory that numpy and Arrow have freed back to the system, so that workers stay small."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every bit."""
     x = x.astype(np.uint64, copy=True)
@@ -99,6 +109,7 @@ def passes(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch
         to = min(batch.num_rows, max(at + 1, to))
         yield batch.slice(at, to - at)
         at = to
+    release()
 
 
 def separators(data: np.ndarray) -> np.ndarray:
