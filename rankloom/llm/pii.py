@@ -1,8 +1,9 @@
 """Personal data by a linear-chain conditional random field over word shapes.
 
 Four kinds have a written form that is always reported (``base``): email, ip, card, phone. A chain over
-the words of a text adds spans that look alike without matching a form. The label of a word is one of the
-kinds or none; what a form matched and its check refused (a wrong check digit) stays unreported. Its features are the word's shape (letters, digits and signs), the collapsed shape, those of both
+the words of a text adds spans that look alike without matching a form; what a form matched and its
+check refused (a wrong check digit) stays unreported. The label of a word is one of the kinds or none;
+its features are the word's shape (letters, digits and signs), the collapsed shape, those of both
 neighbours, and the length. It is trained by maximum likelihood on a small table of words that the
 base spans of a bounded sample label, and decoded by Viterbi.
 
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.textbatch import passes, prepare, span_hashes, text_buffers, word_spans
+from rankloom.llm.textbatch import passes, prepare, sample, span_hashes, text_buffers, word_spans
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents the chain is trained on at most: half of them any, half with a digit or an at sign.
@@ -278,12 +279,9 @@ def labelled_runs(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, int]]:
 def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Chain:
     """The chain, trained on a bounded sample of the texts with the smallest hashes."""
     prepare(docs.sparkSession)
-    source = docs.select(F.xxhash64(F.col(doc_id), F.col(text)).alias("h"), F.col(text).alias("text"))
-    source = source.filter(F.length("text") <= SAMPLE_CHARS)
-    marked = source.filter(F.col("text").rlike("[0-9]|@"))
-    half = SAMPLE_ROWS // 2
-    picked = [part.orderBy("h", "text").limit(half).select("text") for part in (source, marked)]
-    texts = [row.text for part in picked for row in part.collect()]
+    source = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter(F.length("text") <= SAMPLE_CHARS)
+    marked = source.filter(F.col("text").rlike("[0-9@]"))
+    texts = sorted(row.text for part in (source, marked) for row in sample(part, SAMPLE_ROWS // 2, "id", "text").collect())
     return train(labelled_runs(texts))
 
 

@@ -15,6 +15,7 @@ from rankloom.llm.ngram_join import jaccard_components
 from rankloom.llm.packing import pack
 from rankloom.llm.pii import personal_data
 from rankloom.llm.quality import quality_scores
+from rankloom.llm.secrets import secret_spans
 from rankloom.llm.token_counts import sentencepiece_pieces, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +77,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(table(spark, sf_dir, "documents"))

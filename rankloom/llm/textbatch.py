@@ -7,7 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rankloom.session import configure
 
@@ -38,6 +39,16 @@ def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def sample(rows: DataFrame, size: int, *keys: str) -> DataFrame:
+    """At most ``size`` rows, those with the smallest hashes of ``keys``.
+
+    Only hashes are sorted; the rows themselves are found by a filter, so no text is gathered to choose.
+    """
+    marked = rows.withColumn("_h", F.xxhash64(*keys))
+    last = marked.select("_h").orderBy("_h").limit(size).agg(F.max("_h")).first()[0]
+    return marked.filter(F.col("_h") <= F.lit(last)).limit(size).drop("_h") if last is not None else rows.limit(0)
+
+
 def release() -> None:
     """Give memory that numpy and Arrow have freed back to the system, so that workers stay small."""
     pa.default_memory_pool().release_unused()
