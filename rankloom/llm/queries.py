@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rankloom.llm.decontaminate import benchmark_overlap
 from rankloom.llm.exact_dedup import ORACLE as EXACT_SQL
 from rankloom.llm.exact_dedup import exact_duplicates
+from rankloom.llm.html_extract import main_text
 from rankloom.llm.line_dedup import deduplicate_lines
 from rankloom.llm.ngram_join import jaccard_components
 from rankloom.llm.packing import pack
@@ -82,3 +83,8 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
