@@ -47,17 +47,15 @@ def gather(table: pa.Table | pa.RecordBatch, dtypes: dict[str, str]) -> Columns:
 
 
 def by_bucket(
-    df: DataFrame, buckets: int, dtypes: dict[str, str], work: Callable[[Columns], Iterator[pa.RecordBatch]], out: str
+    df: DataFrame, buckets: int, dtypes: dict[str, str] | None, work: Callable[..., Iterator[pa.RecordBatch]], out: str
 ) -> DataFrame:
-    """Call ``work`` once per bucket with all its entries.
+    """Call ``work`` once per bucket with all its entries (without ``dtypes``: with the table itself).
 
     The caller chooses the number of buckets from the number of entries, so that one fits a task.
     """
 
     def one(table: pa.Table) -> pa.Table:
-        columns = gather(table, dtypes)
-        del table
-        done = pa.Table.from_batches(list(work(columns)) or [empty], schema=empty.schema)
+        done = pa.Table.from_batches(list(work(gather(table, dtypes) if dtypes else table)) or [empty], schema=empty.schema)
         release()
         return done
 

@@ -21,10 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.exchange import Columns, by_bucket, scatter, schema
+from rankloom.llm.exchange import Columns, by_bucket, gather, scatter, schema
 from rankloom.llm.graph import components
 from rankloom.llm.textbatch import (
     gram_hashes, lowered, mix, passes, prepare, span_hashes, spread, text_buffers, word_spans,
@@ -33,16 +33,19 @@ from rankloom.session import staged
 
 WORDS = 5
 PERCENT = 75
-#: Hashes that one task of an exchange holds on average.
-BUCKET_ENTRIES = 500_000
+#: Hashes that one task of an exchange holds on average, and those it sorts at once.
+BUCKET_ENTRIES = 3_000_000
+SORTED_ENTRIES = 500_000
 #: Most runs that may be routed past the exchange because a large share of all documents has them.
 HOT_RUNS = 1 << 18
+#: Fewer documents than this do not make a run hot.
+HOT_FLOOR = 1000
 #: Longest extension of a prefix.
 MOST_MATCHES = 8
 #: Cost of verifying one candidate, in postings read.
 VERIFY_COST = 20
-#: Rounds of star links before all remaining cross pairs.
-STAR_ROUNDS = 2
+#: Pivots that each list of postings offers its members before all remaining cross pairs.
+PIVOTS = 2
 
 _CLASS = "doc_id long, class long, n_shingles long, hot binary"
 _I64, _U64, _I32 = "<i8", "<u8", "<i4"
@@ -106,85 +109,139 @@ def _hot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _hot_runs(classes: DataFrame, documents: int, runs: int) -> tuple[np.ndarray, np.ndarray]:
+def _hot_runs(classes: DataFrame, documents: int, runs: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Runs of more than about 1/1024 of the documents and, as their frequency, the sum of the passes.
 
     At most ``HOT_RUNS`` entries: no more than runs / least runs can occur ``least`` times.
     """
-    least = max(documents // 1024, runs // HOT_RUNS, 1000)
+    least = max(documents // 1024, runs // HOT_RUNS, HOT_FLOOR)
     found = (
         classes.filter("hot is not null").select("hot").mapInArrow(_hot_rows, "run long, times long")
         .groupBy("run").agg(F.sum("times").alias("times")).filter(F.col("times") >= least)
         .orderBy("run").toArrow()
     )
     values = found.column("run").to_numpy().view(np.uint64)
-    order = np.argsort(values)
-    return values[order], found.column("times").to_numpy()[order]
+    values = _named(values, (values & np.uint64(0xFFFF)) % np.uint64(buckets))
+    values, first = np.unique(values, return_index=True)
+    return values, found.column("times").to_numpy()[first]
+
+
+def _ragged(k: np.ndarray, n: np.ndarray, bucket: np.ndarray, columns: Columns) -> Iterator[pa.RecordBatch]:
+    """Entries to their buckets; a class with several in a bucket is named once for all of them."""
+    order = np.lexsort((k, bucket))
+    bucket, k, n = bucket[order], k[order], n[order]
+    new = np.ones(len(k), bool)
+    new[1:] = (k[1:] != k[:-1]) | (bucket[1:] != bucket[:-1])
+    at = np.flatnonzero(new)
+    length = np.diff(np.append(at, len(k))).astype(np.int32)
+    heads = scatter(bucket[at], {"k": k[at], "n": n[at].astype(np.int32), "len": length})
+    tails = scatter(bucket, {name: values[order] for name, values in columns.items()})
+    for head, tail in zip(heads, tails, strict=True):
+        yield pa.RecordBatch.from_arrays([*head.columns, *tail.columns[1:]], names=[*head.schema.names, *tail.schema.names[1:]])
 
 
 def _to_runs(size: int, text: str, buckets: int, hot: np.ndarray):
-    """Every distinct set of a pass, hash by hash, to the bucket of the hash."""
+    """Every distinct set of a pass, hash by hash, to the bucket of the hash: the upper 48 bits, and of
+    the others what the bucket tells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in passes(batch, text):
                 grams, sets, key = document_sets(part, size, text)
                 _, one = np.unique(key, return_index=True)
-                own = np.zeros(len(key), bool)
-                own[one] = True
+                own = _mask(one, len(key))
                 row = spread(sets)
                 grams, row = grams[own[row]], row[own[row]]
-                bucket = (grams % np.uint64(buckets)).astype(np.int32)
+                bucket = ((grams & np.uint64(0xFFFF)) % np.uint64(buckets)).astype(np.int32)
+                grams = _named(grams, bucket)
                 if len(hot):  # these need no count: any bucket will do
-                    at = np.minimum(np.searchsorted(hot, grams), len(hot) - 1)
-                    known = hot[at] == grams
-                    bucket[known] = (key[row[known]] % np.uint64(buckets)).astype(np.int32)
-                order = np.lexsort((row, bucket))
-                bucket, row, grams = bucket[order], row[order], grams[order]
-                new = np.ones(len(row), bool)
-                new[1:] = (row[1:] != row[:-1]) | (bucket[1:] != bucket[:-1])
-                at = np.flatnonzero(new)
-                length = np.diff(np.append(at, len(row)))
-                # two ragged columns: one entry per (set, bucket), one per hash
+                    known = _among(hot, grams)[0]
+                    cold, warm = np.flatnonzero(~known), np.flatnonzero(known)
+                else:
+                    cold, warm = np.arange(len(grams)), np.empty(0, np.int64)
                 sizes = np.diff(sets)
-                heads = list(scatter(bucket[at], {"k": key[row[at]], "n": sizes[row[at]].astype(np.int32), "len": length.astype(np.int32)}))
-                tails = list(scatter(bucket, {"run": grams}))
-                for head, tail in zip(heads, tails, strict=True):
-                    yield pa.RecordBatch.from_arrays([*head.columns, tail.column(1)], names=[*head.schema.names, "run"])
+                cut = {"low": (grams[cold] >> np.uint64(16)).astype(np.uint32), "high": (grams[cold] >> np.uint64(48)).astype(np.uint16)}
+                for made in _ragged(key[row[cold]], sizes[row[cold]], bucket[cold], cut):
+                    yield _completed(made)
+                away = (key[row[warm]] % np.uint64(buckets)).astype(np.int32)
+                for made in _ragged(key[row[warm]], sizes[row[warm]], away, {"run": grams[warm]}):
+                    yield _completed(made)
 
     return run
 
 
+def _named(grams: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """Upper 48 bits and the bucket: what travels of a run's hash."""
+    return (grams & ~np.uint64(0xFFFF)) | (bucket.astype(np.uint64) & np.uint64(0xFFFF))
+
+
+def _completed(made: pa.RecordBatch) -> pa.RecordBatch:
+    """Null where a kind of entry lacks a column."""
+    names = ["bucket", "k", "n", "len", "low", "high", "run"]
+    empty = pa.nulls(made.num_rows, pa.binary())
+    return pa.RecordBatch.from_arrays([made.column(n) if n in made.schema.names else empty for n in names], names=names)
+
+
+def _among(sorted_values: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each value occurs, and where."""
+    at = np.minimum(np.searchsorted(sorted_values, values), len(sorted_values) - 1)
+    return sorted_values[at] == values, at
+
+
 def _count_runs(buckets: int, hot: np.ndarray, times: np.ndarray):
     """Frequency of every run of a bucket; those of two documents or more go to their documents."""
 
-    def work(c: Columns) -> Iterator[pa.RecordBatch]:
-        k, n = np.repeat(c["k"], c["len"]), np.repeat(c["n"], c["len"])
-        run, df = c["run"], np.zeros(len(c["run"]), np.int64)
-        if len(hot):
-            at = np.minimum(np.searchsorted(hot, run), len(hot) - 1)
-            known = hot[at] == run
-            df[known] = times[at[known]]
-        cold = np.flatnonzero(df == 0)
-        order = cold[np.argsort(run[cold])]
-        value = run[order]
-        same = value[1:] == value[:-1]
-        twice = np.zeros(len(value), bool)
-        twice[1:] |= same
-        twice[:-1] |= same
-        order = order[twice]
-        order = order[np.lexsort((k[order], run[order]))]  # a class may come from several passes
-        new = np.ones(len(order), bool)
-        new[1:] = (run[order][1:] != run[order][:-1]) | (k[order][1:] != k[order][:-1])
-        order = order[new]
-        value = run[order]
-        start = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1]))) if len(value) else np.empty(0, np.int64)
-        df[order] = np.repeat(np.diff(np.append(start, len(value))), np.diff(np.append(start, len(value))))
-        kept = np.concatenate((order[df[order] > 1], np.flatnonzero(df * 0 + (df > 0) & ~_mask(order, len(df)))))
-        bucket = (k[kept] % np.uint64(buckets)).astype(np.int32)
-        yield from scatter(bucket, {"k": k[kept], "n": n[kept], "run": run[kept], "df": np.minimum(df[kept], 2**31 - 1).astype(np.int32)})
+    def work(bucket: int, c: Columns) -> Iterator[pa.RecordBatch]:
+        run = (c["high"].astype(np.uint64) << np.uint64(48)) | (c["low"].astype(np.uint64) << np.uint64(16))
+        run = _named(run, np.full(1, bucket))
+        owners, runs, dfs = [], [], []
+        owner = np.repeat(np.arange(len(c["len"]), dtype=np.int32), c["len"])
+        parts = max(1, -(-len(run) // SORTED_ENTRIES))
+        which = (run >> np.uint64(17)) % np.uint64(parts)
+        for part in range(parts):
+            at = np.flatnonzero(which == part)
+            at = at[np.argsort(run[at])]
+            value = run[at]
+            same = value[1:] == value[:-1]
+            twice = np.zeros(len(value), bool)
+            twice[1:] |= same
+            twice[:-1] |= same
+            at = at[twice]
+            at = at[np.lexsort((c["k"][owner[at]], run[at]))]  # a class may come from several passes
+            value, k = run[at], c["k"][owner[at]]
+            new = np.ones(len(at), bool)
+            new[1:] = (value[1:] != value[:-1]) | (k[1:] != k[:-1])
+            at, value = at[new], value[new]
+            if not len(at):
+                continue
+            start = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
+            length = np.diff(np.append(start, len(value)))
+            df = np.repeat(length, length)
+            owners.append(owner[at[df > 1]])
+            runs.append(value[df > 1])
+            dfs.append(df[df > 1])
+        if len(owners):
+            yield from _to_profiles(c, np.concatenate(owners), np.concatenate(runs), np.concatenate(dfs), buckets)
+
+    def all_of(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        bucket = table.column("bucket")[0].as_py()
+        warm = table.filter(table.column("run").is_valid())
+        cold = table.filter(table.column("run").is_null())
+        if cold.num_rows:
+            yield from work(bucket, gather(cold, {"k": _U64, "n": _I32, "len": _I32, "low": "<u4", "high": "<u2"}))
+        if warm.num_rows:
+            c = gather(warm, {"k": _U64, "n": _I32, "len": _I32, "run": _U64})
+            yield from _to_profiles(
+                c, np.repeat(np.arange(len(c["len"]), dtype=np.int32), c["len"]), c["run"], times[_among(hot, c["run"])[1]], buckets
+            )
+
+    return all_of
 
-    return work
+
+def _to_profiles(c: Columns, owner: np.ndarray, run: np.ndarray, df: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    k = c["k"][owner]
+    bucket = (k % np.uint64(buckets)).astype(np.int32)
+    yield from _ragged(k, c["n"][owner], bucket, {"run": run, "df": np.minimum(df, 2**31 - 1).astype(np.int32)})
 
 
 def _mask(index: np.ndarray, size: int) -> np.ndarray:
@@ -200,14 +257,14 @@ def _profiles(percent: int):
     """The shared runs of each class, rarest first; classes with too few for a partner go."""
 
     def work(c: Columns) -> Iterator[pa.RecordBatch]:
-        k, run, df = c["k"], c["run"], c["df"]
+        k, n, run, df = np.repeat(c["k"], c["len"]), np.repeat(c["n"], c["len"]), c["run"], c["df"]
         order = np.lexsort((run, df, k))
         new = np.ones(len(order), bool)
         new[1:] = (run[order][1:] != run[order][:-1]) | (k[order][1:] != k[order][:-1])
         order = order[new]
         start = np.flatnonzero(np.concatenate(([True], k[order][1:] != k[order][:-1]))) if len(order) else np.empty(0, np.int64)
         length = np.diff(np.append(start, len(order)))
-        n = c["n"][order[start]] if len(order) else np.empty(0, np.int32)
+        n = n[order[start]]
         fit = np.flatnonzero(length >= _need(n, percent))
         runs, dfs = run[order], df[order]
         yield pa.RecordBatch.from_arrays(
@@ -278,20 +335,21 @@ def _lists(c: Columns, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return order, start[several], end[several]
 
 
-def _stars(turn: int, buckets: int):
-    """In each list with several labels: every member with the list's pivot, if labels differ."""
+def _stars(buckets: int):
+    """Every member of a list with each of the list's pivots, its first in ``PIVOTS`` random orders."""
 
     def work(c: Columns) -> Iterator[pa.RecordBatch]:
-        turned = mix(c["k"].view(np.uint64) + np.uint64((turn * 0x9E3779B97F4A7C15) % 2**64))
-        order, start, end = _lists(c, turned)
-        at = np.repeat(start, end - start)
-        member = at + (np.arange(len(at)) - np.repeat(np.cumsum(end - start) - (end - start), end - start))
-        a, b = c["k"][order[member]], c["k"][order[at]]
-        keep = c["label"][order[member]] != c["label"][order[at]]
-        pairs, count = _pair_counts(a[keep], b[keep])
-        yield from scatter(
-            (mix(pairs[:, 0].view(np.uint64)) % np.uint64(buckets)).astype(np.int32), {"a": pairs[:, 0], "b": pairs[:, 1], "count": count.astype(np.int32)}
-        )
+        for turn in range(PIVOTS):
+            turned = mix(c["k"].view(np.uint64) + np.uint64(turn))
+            order, start, end = _lists(c, turned)
+            at = np.repeat(start, end - start)
+            member = at + (np.arange(len(at)) - np.repeat(np.cumsum(end - start) - (end - start), end - start))
+            a, b = c["k"][order[member]], c["k"][order[at]]
+            pairs, count = _pair_counts(a[a != b], b[a != b])
+            yield from scatter(
+                (mix(pairs[:, 0].view(np.uint64)) % np.uint64(buckets)).astype(np.int32),
+                {"a": pairs[:, 0], "b": pairs[:, 1], "count": count.astype(np.int32), "turn": np.full(len(count), turn, np.int32)},
+            )
 
     return work
 
@@ -306,18 +364,25 @@ def _pair_counts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _best_star(c: Columns) -> Iterator[pa.RecordBatch]:
-    """Of a class's pivots the one it shares most prefix runs with."""
-    order = np.lexsort((c["b"], c["a"]))
-    a, b, count = c["a"][order], c["b"][order], c["count"][order]
-    new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    at = np.flatnonzero(new)
-    total = np.add.reduceat(count, at) if len(at) else count
-    a, b = a[at], b[at]
-    order = np.lexsort((b, -total, a))
-    first = np.ones(len(order), bool)
-    first[1:] = a[order][1:] != a[order][:-1]
-    yield pa.RecordBatch.from_arrays([pa.array(a[order][first]), pa.array(b[order][first])], names=["a", "b"])
+    """For each order, of a class's pivots the one it shares most prefix runs with."""
+    best = []
+    for turn in range(PIVOTS):
+        mine = c["turn"] == turn
+        order = np.lexsort((c["b"][mine], c["a"][mine]))
+        a, b, count = (c[name][mine][order] for name in ("a", "b", "count"))
+        if not len(a):
+            continue
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        at = np.flatnonzero(new)
+        total = np.add.reduceat(count, at)
+        a, b = a[at], b[at]
+        order = np.lexsort((b, -total, a))
+        first = np.ones(len(order), bool)
+        first[1:] = a[order][1:] != a[order][:-1]
+        best.append(np.stack((a[order][first], b[order][first]), 1))
+    pairs = np.unique(np.concatenate(best), axis=0) if best else np.empty((0, 2), np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, i])) for i in (0, 1)], names=["a", "b"])
 
 
 #: Pairs made at once from the lists of a bucket, before equal pairs are counted together.
@@ -417,41 +482,35 @@ def jaccard_components(
     Two rows link when their sets of ``words``-word runs have a Jaccard similarity of
     ``percent`` / 100 or more; component_id is the smallest id reachable by links.
     """
-    spark: SparkSession = prepare(docs.sparkSession)
+    spark = prepare(docs.sparkSession)
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     classes = staged(source.mapInArrow(_classes(words, "doc_id", "text"), _CLASS), "classes")
     seen = classes.agg(F.count(F.lit(1)).alias("docs"), F.sum("n_shingles").alias("runs")).first()
     runs = seen["runs"] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-runs // BUCKET_ENTRIES))
-    hot, times = _hot_runs(classes, seen["docs"], runs)
+    hot, times = _hot_runs(classes, seen["docs"], runs, buckets)
 
-    posted = source.select("text").mapInArrow(_to_runs(words, "text", buckets, hot), schema(["k", "n", "len", "run"]))
-    counted = by_bucket(
-        posted, buckets, {"k": _U64, "n": _I32, "len": _I32, "run": _U64},
-        _count_runs(buckets, hot, times), schema(["k", "n", "run", "df"]),
-    )
+    posted = source.select("text").mapInArrow(_to_runs(words, "text", buckets, hot), schema(["k", "n", "len", "low", "high", "run"]))
+    counted = by_bucket(posted, buckets, None, _count_runs(buckets, hot, times), schema(["k", "n", "len", "run", "df"]))
     profiles = staged(
-        by_bucket(counted, buckets, {"k": _U64, "n": _I32, "run": _U64, "df": _I32}, _profiles(percent), _PROFILE), "profiles"
+        by_bucket(counted, buckets, {"k": _U64, "n": _I32, "len": _I32, "run": _U64, "df": _I32}, _profiles(percent), _PROFILE),
+        "profiles",
     )
 
-    links: DataFrame | None = None
-    labels = spark.createDataFrame([], "node long, component long")
-    for turn in range(STAR_ROUNDS + 1):
-        postings = (
-            profiles.join(labels, F.col("class") == F.col("node"), "left")
-            .select("class", "n", "runs", "dfs", "component")
-            .mapInArrow(_postings(percent, buckets), schema(["run", "k", "label", "l"]))
-        )
-        entries = {"run": _U64, "k": _I64, "label": _I64, "l": _I32}
-        if turn < STAR_ROUNDS:
-            met = by_bucket(postings, buckets, entries, _stars(turn, buckets), schema(["a", "b", "count"]))
-            pairs = by_bucket(met, buckets, {"a": _I64, "b": _I64, "count": _I32}, _best_star, "a long, b long")
-        else:
-            met = by_bucket(postings, buckets, entries, _crosses(buckets), schema(["a", "b", "count", "l"]))
-            pairs = by_bucket(met, buckets, {"a": _I64, "b": _I64, "count": _I32, "l": _I32}, _matched, "a long, b long")
-        found = staged(_linked(pairs, profiles, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
+    entries = {"run": _U64, "k": _I64, "label": _I64, "l": _I32}
+    alone = profiles.select("class", "n", "runs", "dfs", F.lit(None).cast("long").alias("component"))
+    postings = alone.mapInArrow(_postings(percent, buckets), schema(["run", "k", "label", "l"]))
+    met = by_bucket(postings, buckets, entries, _stars(buckets), schema(["a", "b", "count", "turn"]))
+    stars = by_bucket(met, buckets, {"a": _I64, "b": _I64, "count": _I32, "turn": _I32}, _best_star, "a long, b long")
+    links = staged(_linked(stars, profiles, percent), "links")
+    labels = components(links)
+
+    labelled = profiles.join(labels, F.col("class") == F.col("node"), "left").select("class", "n", "runs", "dfs", "component")
+    postings = labelled.mapInArrow(_postings(percent, buckets), schema(["run", "k", "label", "l"]))
+    met = by_bucket(postings, buckets, entries, _crosses(buckets), schema(["a", "b", "count", "l"]))
+    crosses = by_bucket(met, buckets, {"a": _I64, "b": _I64, "count": _I32, "l": _I32}, _matched, "a long, b long")
+    found = staged(_linked(crosses, profiles, percent), "links")
+    labels = components(links.unionByName(found))
 
     named = (
         classes.join(labels, F.col("class") == F.col("node"), "left")
