@@ -102,7 +102,7 @@ class Ranking:
 def binned(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """For each feature and inner edge, whether the value lies above the edge, and one linear term."""
     steps = x[:, :, None] > edges[None]
-    return np.concatenate((steps.reshape(len(x), -1).astype(float), np.clip(x, -10, 20)), axis=1)
+    return np.concatenate((steps.reshape(len(x), edges.size).astype(float), np.clip(x, -10, 20)), axis=1)
 
 
 def fit_ranking(x: np.ndarray, label: np.ndarray, seed: int = 7) -> Ranking:
@@ -110,9 +110,8 @@ def fit_ranking(x: np.ndarray, label: np.ndarray, seed: int = 7) -> Ranking:
     levels = np.arange(1, BINS) / BINS
     edges = np.quantile(x, levels, axis=0).T if len(x) else np.zeros((x.shape[1], BINS - 1))
     good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
-    z = binned(x, edges)
     if not len(good) or not len(bad):
-        return Ranking(edges, np.zeros(z.shape[1]), 0.0)
+        return Ranking(edges, np.zeros(x.shape[1] * BINS), 0.0)
     # also the extremes of the bad ones, which may lie inside one bin of all documents
     edges = np.sort(np.concatenate((edges, np.quantile(x[bad], levels, axis=0).T), axis=1), axis=1)
     z = binned(x, edges)
