@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ PERCENT = 75
 #: Hashes that one task of an exchange holds on average, and those it sorts at once.
 BUCKET_ENTRIES = 3_000_000
 SORTED_ENTRIES = 500_000
+#: Bytes of text whose runs are made at once.
+SET_BYTES = 1 << 20
 #: Most runs that may be routed past the exchange because a large share of all documents has them.
 HOT_RUNS = 1 << 18
 #: Fewer documents than this do not make a run hot.
@@ -78,7 +81,7 @@ def _classes(size: int, doc_id: str, text: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in passes(batch, text):
+            for part in passes(batch, text, SET_BYTES):
                 grams, sets, key = document_sets(part, size, text)
                 counts = np.diff(sets)
                 _, one = np.unique(key, return_index=True)
@@ -146,7 +149,7 @@ def _to_runs(size: int, text: str, buckets: int, hot: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in passes(batch, text):
+            for part in passes(batch, text, SET_BYTES):
                 grams, sets, key = document_sets(part, size, text)
                 _, one = np.unique(key, return_index=True)
                 own = _mask(one, len(key))
@@ -192,23 +195,24 @@ def _count_runs(buckets: int, hot: np.ndarray, times: np.ndarray):
     """Frequency of every run of a bucket; those of two documents or more go to their documents."""
 
     def work(bucket: int, c: Columns) -> Iterator[pa.RecordBatch]:
-        run = (c["high"].astype(np.uint64) << np.uint64(48)) | (c["low"].astype(np.uint64) << np.uint64(16))
-        run = _named(run, np.full(1, bucket))
-        owners, runs, dfs = [], [], []
+        low, high = c["low"], c["high"]
         owner = np.repeat(np.arange(len(c["len"]), dtype=np.int32), c["len"])
-        parts = max(1, -(-len(run) // SORTED_ENTRIES))
-        which = (run >> np.uint64(17)) % np.uint64(parts)
+        parts = max(1, -(-len(low) // SORTED_ENTRIES))
+        which = ((low >> np.uint32(1)) % np.uint32(parts)).astype(np.uint16)
+        owners, runs, dfs = [], [], []
         for part in range(parts):
             at = np.flatnonzero(which == part)
-            at = at[np.argsort(run[at])]
-            value = run[at]
+            run = (high[at].astype(np.uint64) << np.uint64(48)) | (low[at].astype(np.uint64) << np.uint64(16))
+            order = np.argsort(run)
+            value, at = run[order], at[order]
             same = value[1:] == value[:-1]
             twice = np.zeros(len(value), bool)
             twice[1:] |= same
             twice[:-1] |= same
-            at = at[twice]
-            at = at[np.lexsort((c["k"][owner[at]], run[at]))]  # a class may come from several passes
-            value, k = run[at], c["k"][owner[at]]
+            at, value = at[twice], value[twice]
+            k = c["k"][owner[at]]
+            order = np.lexsort((k, value))  # a class may come from several passes
+            at, value, k = at[order], value[order], k[order]
             new = np.ones(len(at), bool)
             new[1:] = (value[1:] != value[:-1]) | (k[1:] != k[:-1])
             at, value = at[new], value[new]
@@ -218,22 +222,21 @@ def _count_runs(buckets: int, hot: np.ndarray, times: np.ndarray):
             length = np.diff(np.append(start, len(value)))
             df = np.repeat(length, length)
             owners.append(owner[at[df > 1]])
-            runs.append(value[df > 1])
-            dfs.append(df[df > 1])
-        if len(owners):
+            runs.append(_named(value[df > 1], np.full(1, bucket)))
+            dfs.append(df[df > 1].astype(np.int32))
+        if owners:
             yield from _to_profiles(c, np.concatenate(owners), np.concatenate(runs), np.concatenate(dfs), buckets)
 
     def all_of(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        bucket = table.column("bucket")[0].as_py()
-        warm = table.filter(table.column("run").is_valid())
-        cold = table.filter(table.column("run").is_null())
+        bucket, hot_rows = table.column("bucket")[0].as_py(), table.column("run").is_valid()
+        warm = table.filter(hot_rows) if table.column("run").null_count < table.num_rows else None
+        cold = table if warm is None else table.filter(pc.invert(hot_rows))
         if cold.num_rows:
             yield from work(bucket, gather(cold, {"k": _U64, "n": _I32, "len": _I32, "low": "<u4", "high": "<u2"}))
-        if warm.num_rows:
+        if warm is not None:
             c = gather(warm, {"k": _U64, "n": _I32, "len": _I32, "run": _U64})
-            yield from _to_profiles(
-                c, np.repeat(np.arange(len(c["len"]), dtype=np.int32), c["len"]), c["run"], times[_among(hot, c["run"])[1]], buckets
-            )
+            owner = np.repeat(np.arange(len(c["len"]), dtype=np.int32), c["len"])
+            yield from _to_profiles(c, owner, c["run"], times[_among(hot, c["run"])[1]], buckets)
 
     return all_of
 

@@ -108,15 +108,15 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def passes(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about PASS_BYTES of text each."""
+def passes(batch: pa.RecordBatch, text: str = "text", size: int = PASS_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes of text each."""
     if not batch.num_rows:
         return
     column = batch.column(batch.schema.get_field_index(text))
     _, bounds = text_buffers(column)
     at = 0
     while at < batch.num_rows:
-        to = int(np.searchsorted(bounds, bounds[at] + PASS_BYTES, side="right")) - 1
+        to = int(np.searchsorted(bounds, bounds[at] + size, side="right")) - 1
         to = min(batch.num_rows, max(at + 1, to))
         yield batch.slice(at, to - at)
         at = to
