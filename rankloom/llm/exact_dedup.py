@@ -40,7 +40,8 @@ def heavy_hashes(rows: DataFrame, column: str) -> DataFrame:
     parts = rows.groupBy(F.pmod(F.spark_partition_id(), F.lit(PARTS)).alias("part")).agg(
         F.expr(f"approx_top_k_accumulate({column}, {COUNTERS})").alias("sketch")
     )
-    merged = parts.agg(F.expr(f"approx_top_k_combine(sketch, {COUNTERS})").alias("sketch"))
+    # grouped, as the sketch of an empty partition cannot be merged
+    merged = parts.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {COUNTERS})").alias("sketch"))
     top = merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {HEAVY})")).alias("top"))
     return top.select(F.col("top.item").alias(column)).filter(F.col("top.count") > 1)
 
