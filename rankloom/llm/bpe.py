@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -13,13 +14,18 @@ from rankloom.llm.textbatch import span_hashes, text_buffers
 CACHE_CHUNKS = 1_500_000
 #: First bytes of the characters beyond ASCII that may be white space: no cut is made beside them.
 _DOUBTFUL_2, _DOUBTFUL_3 = 0xC2, (0xE1, 0xE2, 0xE3)
+#: First byte of U+00C0 to U+00FF: letters, but for the signs that end in 0x97 and 0xB7.
+_LATIN = 0xC3
+_BYTES = np.arange(256)
+_ASCII_LETTER = ((_BYTES | 32) >= 97) & ((_BYTES | 32) <= 122) & (_BYTES < 128)
+_ASCII_SIGN = (_BYTES > 32) & (_BYTES < 127) & ~_ASCII_LETTER & ~((_BYTES >= 48) & (_BYTES <= 57))
 
 
 def chunk_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Places where the byte-level pre-tokenizer always begins a token, whatever stands around.
 
-    That is before a space or line feed after a character that is surely not white space, and
-    after a single line feed between two such characters.
+    That is before a space or line feed after a character that is surely not white space, after a
+    single line feed between two such characters, and between a letter and an ASCII sign.
     """
     doubtful = (data == _DOUBTFUL_2) | np.isin(data, _DOUBTFUL_3)
     solid = data > 32
@@ -34,6 +40,9 @@ def chunk_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     cut[:-1] = ((data == 32) & after_solid) | feed
     plain = (data > 32) & ~doubtful
     cut[1:-1] |= feed[:-1] & plain[1:]
+    letter = _ASCII_LETTER[data]
+    letter[1:] |= (data[:-1] == _LATIN) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    cut[1:-1] |= letter[:-1] & _ASCII_SIGN[data[1:]]
     cut[bounds] = True
     cut[-1] = False
     return np.flatnonzero(cut)
@@ -58,14 +67,12 @@ class Encoder:
     def _learn(self, keys: np.ndarray, chunks: list[str]) -> None:
         if len(self.keys) + len(keys) > CACHE_CHUNKS:
             self._clear()
-        encoded = [e.ids for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
         size = np.fromiter(map(len, encoded), np.int64, len(encoded))
         at = np.cumsum(size) - size + len(self.ids)
-        flat = np.fromiter((i for ids in encoded for i in ids), np.uint16, int(size.sum()))
-        self.ids = np.concatenate((self.ids, flat))
-        keys, at, size = (np.concatenate(pair) for pair in ((self.keys, keys), (self.at, at), (self.size, size)))
-        order = np.argsort(keys)
-        self.keys, self.at, self.size = keys[order], at[order], size[order]
+        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(encoded), np.uint16, int(size.sum()))))
+        place = np.searchsorted(self.keys, keys)  # ``keys`` are sorted
+        self.keys, self.at, self.size = (np.insert(old, place, new) for old, new in ((self.keys, keys), (self.at, at), (self.size, size)))
 
     def _known(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):

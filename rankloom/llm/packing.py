@@ -47,7 +47,7 @@ def projected(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     place, sign = hashed_directions(1 << 16)
     vectors = np.bincount(
         spread(bounds) * DIMENSIONS + place[ids], weights=sign[ids], minlength=rows * DIMENSIONS
-    ).reshape(rows, DIMENSIONS)
+    ).reshape(rows, DIMENSIONS).astype(float)
     vectors /= np.maximum(np.sqrt((vectors**2).sum(1, keepdims=True)), 1e-9)
     axes = np.random.default_rng(11).standard_normal((DIMENSIONS, AXES))
     return 1 / (1 + np.exp(-3 * (vectors @ axes)))
