@@ -15,8 +15,8 @@ MAX_EPOCH_SECOND = 9223372036
 
 
 def snake_name(name: str) -> str:
-    """Lower case; every run of other characters becomes one underscore; ends trimmed."""
-    return re.sub(r"[^0-9a-z]+", "_", name.strip().lower()).strip("_")
+    """The runs of ASCII letters and digits, in lower case, joined by underscores."""
+    return "_".join(re.findall("[a-z0-9]+", name.lower()))
 
 
 def standardize_names(df: DataFrame) -> DataFrame:

@@ -94,7 +94,11 @@ def _result(names, variant, low, high, counts, ids, scores) -> pa.Table:
     return pa.Table.from_arrays(arrays, schema=_RESULT)
 
 
-def _cell_kernel(scorer: Scorer, k: int, digits: int, variants: int):
+def _rounded(scores: np.ndarray, digits: int | None) -> np.ndarray:
+    return scores if digits is None else np.round(scores, digits)
+
+
+def _cell_kernel(scorer: Scorer, k: int, digits: int | None, variants: int):
     def run(cell: pa.Table) -> pa.Table:
         def of_kind(kind: int, key: str) -> pa.Table:
             return cell.filter(pc.equal(cell["kind"], kind)).sort_by(key).combine_chunks()
@@ -113,7 +117,7 @@ def _cell_kernel(scorer: Scorer, k: int, digits: int, variants: int):
         out = []
         for start in range(0, len(names), step):
             stop = min(start + step, len(names))
-            scores = np.round(score_slice(start, stop), digits).reshape(variants, stop - start, len(ids))
+            scores = _rounded(score_slice(start, stop), digits).reshape(variants, stop - start, len(ids))
             a, b = np.searchsorted(rows, [start, stop])
             scores[:, rows[a:b] - start, columns[a:b]] = -np.inf
             for variant in range(variants):
@@ -133,7 +137,7 @@ def score_cells(
     seen: DataFrame,
     scorer: Scorer,
     k: int,
-    digits: int = 6,
+    digits: int | None = None,
     variants: int = 1,
     users_per_block: int = USERS_PER_BLOCK,
     items_per_block: int = ITEMS_PER_BLOCK,
@@ -141,7 +145,8 @@ def score_cells(
     """The K best unseen items of each user, with the range of all the user's unseen scores.
 
     ``users`` and ``items`` hold their id and columns the scorer reads; names must differ. Both
-    are counted first, so give them as stored tables.
+    are counted first, so give them as stored tables. Scores are ranked as they are, unless
+    ``digits`` asks for rounding.
     """
     spark = users.sparkSession
     item_blocks = max(1, math.ceil(items.count() / items_per_block))
@@ -206,7 +211,7 @@ def dense_scorer(users: pa.Table, items: pa.Table):
     return scores
 
 
-def blend_scorer(alphas: list[float], digits: int = 6) -> Scorer:
+def blend_scorer(alphas: list[float], digits: int | None = None) -> Scorer:
     """Per alpha: alpha * score scaled to the user's range + (1 - alpha) * item popularity."""
 
     def prepare(users: pa.Table, items: pa.Table):
@@ -217,7 +222,7 @@ def blend_scorer(alphas: list[float], digits: int = 6) -> Scorer:
 
         def scores(start: int, stop: int) -> np.ndarray:
             width = span[start:stop]
-            scaled = (np.round(base(start, stop), digits) - low[start:stop]) / np.where(width > 0, width, 1.0)
+            scaled = (_rounded(base(start, stop), digits) - low[start:stop]) / np.where(width > 0, width, 1.0)
             scaled = np.where(width > 0, scaled, 0.0)
             return np.stack([a * scaled + (1.0 - a) * popularity for a in alphas])
 

@@ -14,7 +14,7 @@ from rankloom.session import staged
 
 def blended_top_k(
     users: DataFrame, items: DataFrame, seen: DataFrame, popularity: DataFrame, alphas: Sequence[float], k: int,
-    digits: int = 6, **blocks: int,
+    digits: int | None = None, **blocks: int,
 ) -> DataFrame:
     """K best unseen items per user for every alpha.
 

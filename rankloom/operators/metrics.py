@@ -121,12 +121,11 @@ def promotion(current: DataFrame, candidate: DataFrame, epsilon: float = 1e-9) -
         return F.format_string(pattern, *cols)
 
     reason = (
-        F.when(better, text("Promote: recall_at_k improved from %.6f to %.6f.", old_recall, recall))
-        .when(wider, text("Promote: recall_at_k is equivalent and coverage improved from %.6f to %.6f.", old_cover, cover))
+        F.when(better, text("New model: recall_at_k improved (%.6f, then %.6f).", old_recall, recall))
+        .when(wider, text("New model: same recall, coverage improved (%.6f, then %.6f).", old_cover, cover))
         .otherwise(
             text(
-                "Keep current model: candidate did not satisfy promotion rule (candidate recall=%.6f, "
-                "current recall=%.6f, candidate coverage=%.6f, current coverage=%.6f).",
+                "Old model: the new one did not satisfy promotion rule (recall %.6f against %.6f, coverage %.6f against %.6f).",
                 recall, old_recall, cover, old_cover,
             )
         )

@@ -125,17 +125,17 @@ def retrain_trigger(drift_row: DataFrame, strategy: str = "trigger", threshold:
     """Schedule always retrains; trigger retrains at or above the threshold; a missing score does not."""
     score = F.col("drift_score")
     if strategy == "schedule":
-        fire, reason = F.lit(True), F.lit("Schedule-based retraining selected: run every cycle.")
+        fire, reason = F.lit(True), F.lit("Schedule-based: this cycle retrains whatever the drift.")
     else:
         fire = F.coalesce(score >= threshold, F.lit(False))
         reason = (
-            F.when(score.isNull(), F.lit("Trigger-based retraining skipped: missing drift score."))
+            F.when(score.isNull(), F.lit("Retraining skipped, there is no drift score."))
             .when(
                 fire,
-                F.format_string("Trigger-based retraining activated: drift_score=%.4f >= %.4f.", score, F.lit(threshold)),
+                F.format_string("Retraining activated, drift %.4f reaches %.4f.", score, F.lit(threshold)),
             )
             .otherwise(
-                F.format_string("Trigger-based retraining skipped: drift_score=%.4f < %.4f.", score, F.lit(threshold))
+                F.format_string("Retraining skipped, drift %.4f is below %.4f.", score, F.lit(threshold))
             )
         )
     return drift_row.select("drift_score", fire.alias("retrain"), reason.alias("reason"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rankloom.operators.cells import dense_scorer, score_cells
 from rankloom.operators.skew import global_position
+from rankloom.session import staged
 
 # Popularity ranks up to this one are joined by broadcast; the head has this many rows at most.
 HEAD_ROWS = 50_000
@@ -93,7 +94,7 @@ def factor_item_columns(items: DataFrame) -> DataFrame:
     return items.select("movie_id", F.col("factors").alias("item_vector"), F.col("bias").alias("item_bias"))
 
 
-def factor_top_k(users: DataFrame, items: DataFrame, seen: DataFrame, k: int, digits: int = 6, **blocks: int) -> DataFrame:
+def factor_top_k(users: DataFrame, items: DataFrame, seen: DataFrame, k: int, digits: int | None = None, **blocks: int) -> DataFrame:
     """K best unseen items per user by factor score, with the user's unseen score range."""
     return score_cells(
         factor_user_columns(users), factor_item_columns(items), seen, dense_scorer, k, digits, **blocks
@@ -191,21 +192,22 @@ def fallback_order(sources: list[DataFrame | None]) -> DataFrame:
 def route_users(
     users: DataFrame, known: DataFrame, personal: DataFrame, fallback: DataFrame, k: int, model: str, version: str
 ) -> DataFrame:
-    """Model list for users with history, popularity head for the others; K is at least 1.
+    """Model list for users with history and a list, popularity head for all others; K is held in 1..100.
 
     ``personal`` holds user_id, rank, movie_id; ``fallback`` holds movie_id, item_rank.
     """
-    k = max(1, k)
+    k = min(max(1, k), 100)
     asked = users.select("user_id").distinct()
     has_history = known.select("user_id").distinct()
-    mine = (
+    mine = staged(
         personal.join(asked, "user_id", "left_semi")
         .join(has_history, "user_id", "left_semi")
         .filter(F.col("rank") <= k)
-        .select("user_id", "rank", "movie_id", F.lit(model).alias("strategy"))
+        .select("user_id", "rank", "movie_id", F.lit(model).alias("strategy")),
+        "lists",
     )
     head = fallback.filter(F.col("item_rank") <= k).select(F.col("item_rank").cast("int").alias("rank"), "movie_id")
-    others = _head_for_all(asked.join(has_history, "user_id", "left_anti"), head).select(
+    others = _head_for_all(asked.join(mine.select("user_id").distinct(), "user_id", "left_anti"), head).select(
         "user_id", "rank", "movie_id", F.lit("popularity_fallback").alias("strategy")
     )
     return mine.unionByName(others).withColumn("model_version", F.lit(version))

@@ -110,13 +110,19 @@ def _(spark, sf):
 
 # ---- pairwise ranking
 
+#: The rounds of the candidate mixing; a round refers to the column before it.
+MIX = [
+    f"(h{i} * h{i} + h{i} * 48271 + ({value}) % 2147483647 + 12345) % 2147483647"
+    for i, value in enumerate(("p.movie_id", "t.t", "0", "0", "0"))
+]
+
 NEGATIVES = {
     "pos": "SELECT DISTINCT user_id, movie_id FROM train WHERE rating >= 4",
     "items": "SELECT movie_id, row_number() OVER (ORDER BY movie_id) - 1 AS idx FROM (SELECT DISTINCT movie_id FROM train) m",
     "posidx": "SELECT p.user_id, i.idx FROM pos p JOIN items i ON i.movie_id = p.movie_id",
-    "candidates": """SELECT p.user_id, p.movie_id, t.t,
- ((p.user_id % 1000003) * 7919 + (p.movie_id % 1000003) * 104729 + t.t * (t.t + 1) * 15485863 + t.t * 32452843) % (SELECT count(*) FROM items) AS c
-FROM pos p CROSS JOIN (SELECT unnest(range(100)) AS t) t""",
+    "candidates": """SELECT p.user_id, p.movie_id, p.t, h % (SELECT count(*) FROM items) AS c
+FROM (SELECT p.user_id, p.movie_id, t.t, p.user_id % 2147483647 AS h0, {0} AS h1, {1} AS h2, {2} AS h3, {3} AS h4, {4} AS h
+FROM pos p CROSS JOIN (SELECT unnest(range(100)) AS t) t) p""".format(*MIX),
     "free": """SELECT user_id, movie_id, arg_min(c, t) AS c FROM candidates k
 WHERE NOT EXISTS (SELECT 1 FROM posidx x WHERE x.user_id = k.user_id AND x.idx = k.c) GROUP BY user_id, movie_id""",
     "neg": "SELECT f.user_id, f.movie_id, i.movie_id AS negative FROM free f JOIN items i ON i.idx = f.c",
@@ -201,8 +207,11 @@ def _(spark, sf):
 
 @query("h14_vocabulary", with_views("SELECT term, df, corpus_count FROM vocab"))
 def _(spark, sf):
-    return content.vocabulary(content.term_counts(content.build_item_text(views.movies(spark, sf))))
+    return content.vocabulary(content.term_counts(content.build_item_text(views.movies(spark, sf))), max_features=TERMS)
+
 
+#: Fixed value: size of the vocabulary these queries reproduce.
+TERMS = 12000
 
 DOCUMENTS = {
     "docterms": term_rows("documents", "doc_id", "text"),
@@ -213,12 +222,12 @@ DOCUMENTS = {
 
 @query("h14_document_vocabulary", with_views("SELECT term, df, corpus_count FROM docvocab", **DOCUMENTS))
 def _(spark, sf):
-    return content.vocabulary(content.term_counts(spread(views.table(spark, sf, "documents")), "doc_id"))
+    return content.vocabulary(content.term_counts(spread(views.table(spark, sf, "documents")), "doc_id"), max_features=TERMS)
 
 
 @query("h15_tfidf", with_views("SELECT movie_id, term, round(CAST(weight AS DOUBLE), 6) AS weight FROM weights"))
 def _(spark, sf):
-    vectors = content.item_vectors(views.movies(spark, sf))
+    vectors = content.item_vectors(views.movies(spark, sf), max_features=TERMS)
     return rounded(vectors.weights.select("movie_id", "term", "weight"), "weight")
 
 
@@ -226,19 +235,19 @@ def _(spark, sf):
 def _(spark, sf):
     docs = views.table(spark, sf, "documents")
     counts = staged(content.term_counts(spread(docs), "doc_id"), "terms")
-    return rounded(content.tfidf(counts, content.vocabulary(counts), docs.count(), "doc_id"), "weight")
+    return rounded(content.tfidf(counts, content.vocabulary(counts, max_features=TERMS), docs.count(), "doc_id"), "weight")
 
 
 class ContentShop(Shop):
     def __init__(self, spark, sf):
         super().__init__(spark, sf)
-        vectors = content.item_vectors(views.movies(spark, sf))
+        vectors = content.item_vectors(views.movies(spark, sf), max_features=TERMS)
         self.vocabulary = vectors.vocabulary
         self.items = staged(vectors.packed, "items")
         self.profiles = staged(content.user_profiles(self.train, self.items), "profiles")
 
     def lists(self, k: int = K) -> DataFrame:
-        return content.similar_top_k(self.profiles, self.items, self.seen, k)
+        return content.similar_top_k(self.profiles, self.items, self.seen, k, digits=6)
 
 
 @query("h16_user_profile", with_views("SELECT user_id, term, round(CAST(weight AS DOUBLE), 6) AS weight FROM profile"))
@@ -255,7 +264,7 @@ UNION ALL SELECT r.user_id, r.rank, r.movie_id, CAST(11 - r.rank AS DOUBLE), 3.0
 def _(spark, sf):
     shop = ContentShop(spark, sf)
     ranked = topk.ranked_items(shop.popularity)
-    return content.content_recommendations(shop.profiles, shop.items, shop.seen, ranked, shop.users, K)
+    return content.content_recommendations(shop.profiles, shop.items, shop.seen, ranked, shop.users, K, digits=6)
 
 
 @query("h17_content_metrics", with_views(f"SELECT {METRIC_SQL} FROM metrics", **metric_ctes("simrecs", "relevant", "movies")))

@@ -123,11 +123,11 @@ def _(spark, sf):
 
 
 @query("j12_retrain_trigger", with_views("""
-SELECT 'schedule' AS strategy, round(drift_score, 6) AS drift_score, true AS retrain, 'Schedule-based retraining selected: run every cycle.' AS reason FROM driftscore
+SELECT 'schedule' AS strategy, round(drift_score, 6) AS drift_score, true AS retrain, 'Schedule-based: this cycle retrains whatever the drift.' AS reason FROM driftscore
 UNION ALL SELECT 'trigger', round(drift_score, 6), drift_score >= 0.2, CASE WHEN drift_score >= 0.2
-  THEN printf('Trigger-based retraining activated: drift_score=%.4f >= 0.2000.', drift_score)
-  ELSE printf('Trigger-based retraining skipped: drift_score=%.4f < 0.2000.', drift_score) END FROM driftscore
-UNION ALL SELECT 'missing', NULL, false, 'Trigger-based retraining skipped: missing drift score.'"""))
+  THEN printf('Retraining activated, drift %.4f reaches 0.2000.', drift_score)
+  ELSE printf('Retraining skipped, drift %.4f is below 0.2000.', drift_score) END FROM driftscore
+UNION ALL SELECT 'missing', NULL, false, 'Retraining skipped, there is no drift score.'"""))
 def _(spark, sf):
     score = staged(drift.divergence(_train_share(spark, sf), drift.production_distribution(_logs(spark, sf))), "score")
     none = score.withColumn("drift_score", F.lit(None).cast("double"))
@@ -350,11 +350,11 @@ def _(spark, sf):
 
 
 @query("l14_rule_labels", with_views("""
-SELECT CASE WHEN (SELECT span_days FROM span) / 365.25 >= 2 AND (volume_cv > 0.1 OR rating_range > 0.1) THEN 'time-based split is preferred over random split'
-            ELSE 'random split can be acceptable, but time-based validation is still recommended for realism' END AS split_recommendation,
- CASE WHEN s >= 0.99 THEN 'extremely sparse' WHEN s >= 0.95 THEN 'very sparse' WHEN s >= 0.9 THEN 'sparse' ELSE 'moderately sparse' END AS sparsity_label,
- CASE WHEN h >= 0.7 THEN 'highly concentrated, with a very strong long-tail pattern' WHEN h >= 0.55 THEN 'clearly concentrated, with a pronounced long-tail pattern'
-      ELSE 'only moderately concentrated' END AS concentration_label,
+SELECT CASE WHEN (SELECT span_days FROM span) / 365.25 >= 2 AND (volume_cv > 0.1 OR rating_range > 0.1) THEN 'split by time'
+            ELSE 'split at random, validate by time' END AS split_recommendation,
+ CASE WHEN s >= 0.99 THEN 'sparse: 99 %' WHEN s >= 0.95 THEN 'sparse: 95 %' WHEN s >= 0.9 THEN 'sparse: 90 %' ELSE 'below 90 %' END AS sparsity_label,
+ CASE WHEN h >= 0.7 THEN 'most ratings on few items' WHEN h >= 0.55 THEN 'many ratings on few items'
+      ELSE 'ratings spread over items' END AS concentration_label,
  CASE WHEN m >= 0.3 OR u >= 0.3 THEN 'significant' WHEN m >= 0.15 OR u >= 0.15 THEN 'moderate' ELSE 'limited' END AS cold_start_label
 FROM (SELECT v.volume_cv, v.rating_range, 1 - (SELECT count(*) FROM interactions) / CAST((SELECT count(*) FROM users) * (SELECT count(*) FROM movies) AS DOUBLE) AS s,
  (SELECT head_share FROM heads WHERE share = 0.2) AS h, (SELECT avg(CAST(value <= 5 AS INT)) FROM bymovie) AS m, (SELECT avg(CAST(value <= 5 AS INT)) FROM byuser) AS u

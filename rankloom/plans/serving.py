@@ -33,7 +33,7 @@ class FactorShop(Shop):
         self.user_factors, self.item_factors = views.user_factors(spark, sf), views.item_factors(spark, sf)
 
     def lists(self, k: int = K) -> DataFrame:
-        return topk.factor_top_k(self.user_factors, self.item_factors, self.seen, k)
+        return topk.factor_top_k(self.user_factors, self.item_factors, self.seen, k, digits=6)
 
 
 def popular_lists(shop: Shop, k: int = K) -> DataFrame:
@@ -131,7 +131,7 @@ ROUTED = {
 SELECT f.user_id, f.rank, f.movie_id, 'bpr' AS strategy, 'v1' AS model_version FROM facrecs f
 WHERE f.user_id IN (SELECT user_id FROM asked) AND f.user_id IN (SELECT user_id FROM train)
 UNION ALL SELECT a.user_id, CAST(p.item_rank AS INT), p.movie_id, 'popularity_fallback', 'v1' FROM asked a CROSS JOIN popranked p
-WHERE p.item_rank <= 10 AND a.user_id NOT IN (SELECT user_id FROM train)""",
+WHERE p.item_rank <= 10 AND a.user_id NOT IN (SELECT user_id FROM facrecs WHERE user_id IN (SELECT user_id FROM train))""",
 }
 
 
@@ -207,7 +207,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id, alpha ORDER BY score DESC, movi
 
 def blended(shop: FactorShop, alphas: list[float]) -> DataFrame:
     norm = popularity.normalized_popularity(shop.popularity)
-    return hybrid.blended_top_k(shop.user_factors, shop.item_factors, shop.seen, norm, alphas, K)
+    return hybrid.blended_top_k(shop.user_factors, shop.item_factors, shop.seen, norm, alphas, K, digits=6)
 
 
 @query("g11_hybrid_blend", with_views("SELECT user_id, alpha, rank, movie_id, score FROM blendrecs", **BLEND))
@@ -268,15 +268,16 @@ def _(spark, sf):
 
 @query("h18_model_dispatch", with_views("""
 SELECT 'popularity' AS family, user_id, rank, movie_id, CAST(11 - rank AS DOUBLE) AS raw_score FROM poprecs
-UNION ALL SELECT 'bpr', user_id, rank, movie_id, raw_score FROM facrecs WHERE user_id IN (SELECT user_id FROM train)"""))
+UNION ALL SELECT f.family, r.* FROM (SELECT unnest(['bpr', 'svd']) AS family) f CROSS JOIN
+ (SELECT user_id, rank, movie_id, raw_score FROM facrecs WHERE user_id IN (SELECT user_id FROM train)
+  UNION ALL SELECT user_id, rank, movie_id, CAST(11 - rank AS DOUBLE) FROM poprecs WHERE user_id NOT IN (SELECT user_id FROM facrecs)) r"""))
 def _(spark, sf):
     shop = FactorShop(spark, sf)
-    models = {
-        "popularity": {"items": topk.ranked_items(shop.popularity), "seen": shop.seen},
-        "bpr": {"users": shop.user_factors, "items": shop.item_factors, "seen": shop.seen},
-    }
-    rows = [dispatch.recommend(f, m, shop.users, K).select(F.lit(f).alias("family"), "*") for f, m in models.items()]
-    return rows[0].unionByName(rows[1])
+    common = {"popular": staged(topk.ranked_items(shop.popularity), "popular"), "seen": shop.seen}
+    factors = {**common, "users": shop.user_factors, "items": shop.item_factors}
+    models = {"popularity": common, "bpr": factors, "svd": factors}
+    rows = [dispatch.recommend(f, m, shop.users, K, digits=6).select(F.lit(f).alias("family"), "*") for f, m in models.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 # ---- metrics
@@ -427,9 +428,9 @@ def _(spark, sf):
     return rounded(row, "recall_at_k_delta", "coverage_delta")
 
 
-REASON_SQL = """CASE WHEN better THEN printf('Promote: recall_at_k improved from %.6f to %.6f.', CAST(current_recall_at_k AS DOUBLE), CAST(candidate_recall_at_k AS DOUBLE))
- WHEN wider THEN printf('Promote: recall_at_k is equivalent and coverage improved from %.6f to %.6f.', CAST(current_coverage AS DOUBLE), CAST(candidate_coverage AS DOUBLE))
- ELSE printf('Keep current model: candidate did not satisfy promotion rule (candidate recall=%.6f, current recall=%.6f, candidate coverage=%.6f, current coverage=%.6f).',
+REASON_SQL = """CASE WHEN better THEN printf('New model: recall_at_k improved (%.6f, then %.6f).', CAST(current_recall_at_k AS DOUBLE), CAST(candidate_recall_at_k AS DOUBLE))
+ WHEN wider THEN printf('New model: same recall, coverage improved (%.6f, then %.6f).', CAST(current_coverage AS DOUBLE), CAST(candidate_coverage AS DOUBLE))
+ ELSE printf('Old model: the new one did not satisfy promotion rule (recall %.6f against %.6f, coverage %.6f against %.6f).',
    CAST(candidate_recall_at_k AS DOUBLE), CAST(current_recall_at_k AS DOUBLE), CAST(candidate_coverage AS DOUBLE), CAST(current_coverage AS DOUBLE)) END AS reason"""
 
 

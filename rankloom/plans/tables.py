@@ -94,7 +94,7 @@ def json_lines(spark, sf) -> str:
     events = log_events(spark, sf).withColumn("timestamp", F.date_format("timestamp", writers.LOG_TIME))
     lines = events.select(F.to_json(F.struct(*events.columns)).alias("value"))
     noise = spark.createDataFrame([("",), ('{"timestamp": "2024-01-01T00:00:00+00:00", "user_id": ',)], "value string")
-    lines.repartition(4).write.text(path)
+    lines.write.option("maxRecordsPerFile", 200_000).text(path)
     noise.coalesce(1).write.mode("append").text(path)
     return path
 

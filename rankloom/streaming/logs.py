@@ -38,46 +38,42 @@ def ingest(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def windowed_metrics(stream: DataFrame, width: str = "1 day", late: str = "1 hour") -> DataFrame:
-    """Service metrics per tumbling window; rows later than the watermark are dropped.
+def write_windows(stream: DataFrame, target: str, checkpoint: str, width: str = "1 day") -> StreamingQuery:
+    """Every micro-batch adds partial counts of its windows in a folder of its own.
 
-    The 95th percentile is approximate here: an exact one would keep every value as state.
+    No watermark is kept, so rows may come in any order and none is dropped. A replayed batch
+    overwrites its folder, so nothing is counted twice.
     """
     parts = {**service_counts(), **strategy_counts()}
-    wanted = ["request_count", "success_count", "error_count", "error_rate", "fallback_count", "fallback_rate"]
-    return (
-        stream.filter(F.col("timestamp").isNotNull())
-        .withWatermark("timestamp", late)
-        .groupBy(F.window("timestamp", width).alias("w"))
-        .agg(
-            *[parts[n].alias(n) for n in wanted],
-            F.avg("latency_ms").alias("avg_latency_ms"),
-            F.percentile_approx("latency_ms", 0.95).alias("approx_p95_latency_ms"),
-        )
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *wanted, "avg_latency_ms", "approx_p95_latency_ms")
-    )
-
-
-def write_windows(metrics: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Every micro-batch's changed windows go to their own folder; the newest version of a window counts.
-
-    A replayed batch overwrites its own folder, so nothing is counted twice.
-    """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{target}/update-{batch_id}")
+        counts = (
+            batch.filter(F.col("timestamp").isNotNull())
+            .groupBy(F.window("timestamp", width).alias("w"), "latency_ms")
+            .agg(*[parts[n].alias(n) for n in _COUNTS])
+        )
+        rows = counts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "latency_ms", *_COUNTS)
+        rows.write.mode("overwrite").parquet(f"{target}/update-{batch_id}")
 
     return (
-        metrics.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(save)
-        .start()
+        stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(save).start()
     )
 
 
+_COUNTS = ("request_count", "success_count", "error_count", "fallback_count")
+
+
 def read_windows(spark: SparkSession, target: str) -> DataFrame:
+    """Service metrics per window from all partial counts; the 95th percentile is exact."""
     rows = spark.read.parquet(f"{target}/update-*")
-    rest = [c for c in rows.columns if c not in ("window_start", "batch")]
-    newest = rows.groupBy("window_start").agg(F.max_by(F.struct(*rest), "batch").alias("_n"))
-    return newest.select("window_start", "_n.*")
+    timed = F.when(F.col("latency_ms").isNotNull(), F.col("request_count"))
+    sums = rows.groupBy("window_start", "window_end").agg(
+        *[F.sum(n).alias(n) for n in _COUNTS],
+        (F.sum(F.col("latency_ms") * F.col("request_count")) / F.sum(timed)).alias("avg_latency_ms"),
+        F.percentile("latency_ms", 0.95, F.col("request_count")).alias("p95_latency_ms"),
+    )
+    return sums.select(
+        "window_start", "window_end", "request_count", "success_count", "error_count",
+        (F.col("error_count") / F.col("request_count")).alias("error_rate"), "fallback_count",
+        (F.col("fallback_count") / F.col("request_count")).alias("fallback_rate"), "avg_latency_ms", "p95_latency_ms",
+    )

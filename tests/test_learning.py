@@ -76,7 +76,10 @@ def test_no_positive_is_an_error(planted):
 
 def brute_negative(u, m, liked, n, tries):
     for t in range(tries):
-        c = ((u % 1000003) * 7919 + (m % 1000003) * 104729 + t * (t + 1) * 15485863 + t * 32452843) % n
+        h, p = u, 2**31 - 1
+        for value in (m, t, 0, 0, 0):
+            h = (h * h + h * 48271 + value + 12345) % p
+        c = h % n
         if (u, c) not in liked:
             return c
     return next((c for c in range(n) if (u, c) not in liked), 0)
@@ -93,6 +96,22 @@ def test_negatives_against_brute_force(spark, tries):
     assert got == {(u, m): brute_negative(u, m, liked, n, tries) for u, m in liked}
 
 
+@pytest.mark.parametrize("n", [1000, 7919, 104729])
+def test_candidates_spread_for_any_catalog_size(spark, n):
+    index = bpr.candidate_index(F.col("id"), F.lit(5).cast("long"), F.lit(0).cast("long"), n, 1, F.lit(2).cast("long"))
+    counts = spark.range(20_000).select((index * 10 / n).cast("int").alias("part")).groupBy("part").count().collect()
+    assert len(counts) == 10 and all(1700 < r["count"] < 2300 for r in counts)
+    assert spark.range(200).select(index).distinct().count() > 170
+
+
+def test_every_draw_has_its_own_negative(spark):
+    liked = spark.createDataFrame([(1, 0)], "user_id long, movie_id long")
+    items = clean.id_map(spark.createDataFrame([(m,) for m in range(500)], "movie_id long"), "movie_id", "movie_idx")
+    draws = spark.range(100).select(F.lit(1).cast("long").alias("user_id"), F.lit(0).cast("long").alias("movie_id"), F.col("id").alias("draw"))
+    got = bpr.sample_negatives(draws, liked, items, 500)
+    assert got.count() == 100 and got.select("negative").distinct().count() > 70
+
+
 def test_draws_add_up(spark):
     placed = spark.createDataFrame([(u, u, u) for u in range(20)], "user_id long, movie_id long, _pos long")
     drawn = bpr.draw_positives(placed, 20, 500, 1, 1)

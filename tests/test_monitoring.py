@@ -96,15 +96,18 @@ def test_feedback_stream_survives_a_repeated_batch(spark):
     assert sorted(tuple(r) for r in state.read_merged(spark, target, 0).select(*columns).collect()) == want
 
 
-def test_windows_over_several_batches(spark, events):
+@pytest.mark.parametrize("files", [1, 1000])
+def test_windows_over_several_batches(spark, events, files):
+    """The same windows however the files are cut into batches; older rows come last."""
     source, target = fresh_path(spark, "l"), fresh_path(spark, "w")
     renamed = events.withColumnRenamed("ts", "timestamp")
     for _ in range(3):
         renamed.coalesce(1).write.mode("append").json(source)
-    windows = log_streams.windowed_metrics(log_streams.log_stream(spark, source, 1), "1 day", "30 days")
-    log_streams.write_windows(windows, target, fresh_path(spark, "o")).awaitTermination()
+    older = renamed.withColumn("timestamp", F.col("timestamp").cast("timestamp") - F.expr("INTERVAL 300 DAYS"))
+    older.coalesce(1).write.mode("append").json(source)
+    log_streams.write_windows(log_streams.log_stream(spark, source, files), target, fresh_path(spark, "o")).awaitTermination()
     got = log_streams.read_windows(spark, target).orderBy("window_start").collect()
-    assert [(r["request_count"], r["fallback_count"]) for r in got] == [(3, 0), (3, 3)]
+    assert [(r["request_count"], r["fallback_count"]) for r in got] == [(1, 0), (1, 1), (3, 0), (3, 3)]
 
 
 def test_model_store_needs_meta(spark):

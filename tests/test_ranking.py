@@ -192,3 +192,22 @@ def test_gini_of_nothing(spark):
 def test_head_share(spark):
     assert eda.head_share(histogram(spark, [5, 3, 2, 1, 1]), [0.2]).first()["head_share"] == pytest.approx(5 / 12)
     assert eda.head_share(histogram(spark, [2, 2, 2, 2]), [0.5]).first()["head_share"] == pytest.approx(0.5)
+
+
+def test_known_user_without_a_list_gets_popularity(spark):
+    """Users 1 and 2 have history, the model has a list for 1 only; 3 is a stranger."""
+    asked = spark.createDataFrame([(1,), (2,), (3,)], "user_id long")
+    known = spark.createDataFrame([(1,), (2,)], "user_id long")
+    personal = spark.createDataFrame([(1, 1, 50), (1, 2, 51)], "user_id long, rank int, movie_id long")
+    fallback = spark.createDataFrame([(10 + i, i) for i in range(1, 151)], "movie_id long, item_rank long")
+    rows = topk.route_users(asked, known, personal, fallback, 2, "bpr", "v1").collect()
+    assert {(r["user_id"], r["strategy"]) for r in rows} == {(1, "bpr"), (2, "popularity_fallback"), (3, "popularity_fallback")}
+    assert all(sum(r["user_id"] == u for r in rows) == 2 for u in (1, 2, 3))
+    assert topk.route_users(asked, known, personal, fallback, 500, "bpr", "v1").filter("user_id = 3").count() == 100
+
+
+def test_small_scores_keep_their_order(spark):
+    users = spark.createDataFrame([(1, [1e-7], 0.0)], "user_id long, factors array<double>, bias double")
+    items = spark.createDataFrame([(1, [1.0], 0.0), (2, [3.0], 0.0)], "movie_id long, factors array<double>, bias double")
+    none = spark.createDataFrame([], "user_id long, movie_id long")
+    assert [r["movie_id"] for r in topk.factor_top_k(users, items, none, 2).orderBy("rank").collect()] == [2, 1]
