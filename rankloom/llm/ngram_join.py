@@ -38,7 +38,7 @@ PERCENT = 75
 BUCKET_ENTRIES = 3_000_000
 SORTED_ENTRIES = 500_000
 #: Bytes of text whose runs are made at once.
-SET_BYTES = 1 << 20
+SET_BYTES = 1 << 19
 #: Most runs that may be routed past the exchange because a large share of all documents has them.
 HOT_RUNS = 1 << 18
 #: Fewer documents than this do not make a run hot.

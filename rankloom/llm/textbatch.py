@@ -15,7 +15,7 @@ from rankloom.session import configure
 #: Rows that one Arrow batch of texts holds, so that JVM and worker hold few MB of text at once.
 BATCH_ROWS = 500
 #: Bytes hashed at once; the tables of powers have this length.
-WINDOW = 1 << 20
+WINDOW = 1 << 19
 #: Bytes of text that one numpy pass takes (a longer text is a pass of its own).
 PASS_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -49,11 +49,22 @@ def sample(rows: DataFrame, size: int, *keys: str) -> DataFrame:
     return marked.filter(F.col("_h") <= F.lit(last)).limit(size).drop("_h") if last is not None else rows.limit(0)
 
 
+_M_MMAP_THRESHOLD = -3
+_tidy: list[bool] = []
+
+
 def release() -> None:
-    """Give memory that numpy and Arrow have freed back to the system, so that workers stay small."""
+    """Give memory that numpy and Arrow have freed back to the system, so that workers stay small.
+
+    From the first call on, large arrays get pages of their own, which go back as soon as they are freed.
+    """
     pa.default_memory_pool().release_unused()
     try:
-        ctypes.CDLL(None).malloc_trim(0)
+        library = ctypes.CDLL(None)
+        if not _tidy:
+            library.mallopt(_M_MMAP_THRESHOLD, 1 << 18)
+            _tidy.append(True)
+        library.malloc_trim(0)
     except (AttributeError, OSError):  # another C library
         pass
 
@@ -112,6 +123,7 @@ def passes(batch: pa.RecordBatch, text: str = "text", size: int = PASS_BYTES) ->
     """Slices of a batch with about ``size`` bytes of text each."""
     if not batch.num_rows:
         return
+    release()
     column = batch.column(batch.schema.get_field_index(text))
     _, bounds = text_buffers(column)
     at = 0
@@ -120,7 +132,6 @@ def passes(batch: pa.RecordBatch, text: str = "text", size: int = PASS_BYTES) ->
         to = min(batch.num_rows, max(at + 1, to))
         yield batch.slice(at, to - at)
         at = to
-    release()
 
 
 def separators(data: np.ndarray) -> np.ndarray:
