@@ -171,7 +171,7 @@ def _variants(min_words: int, buckets: int):
                 own = np.concatenate((np.arange(len(at)), owner))
                 where = np.concatenate((np.full(len(at), -1), pos)).astype(np.int32)
                 order, new = _groups(v, where, doc[own], line[own])
-                late = own[order[~new]]
+                late = own[_later(order, new, doc[own], line[own])]
                 first = order[new]
                 yield from scatter(
                     (v[first] % _U(buckets)).astype(np.int32),
@@ -194,13 +194,19 @@ def _groups(v: np.ndarray, pos: np.ndarray, doc: np.ndarray, line: np.ndarray) -
     return order, new
 
 
+def _later(order: np.ndarray, new: np.ndarray, doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Members of the groups at another place than the group's first (a repeated row is at the same)."""
+    first = order[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))] if len(order) else order
+    return order[(doc[order] != doc[first]) | (line[order] != line[first])]
+
+
 def _late_lines(c: Columns) -> Iterator[pa.RecordBatch]:
     """Places of lines with an earlier line within the bound."""
     known = c["pos"] == -2
     done = np.stack((c["doc"][known], c["line"][known].astype(np.int64)), 1)
     v, doc, line, pos = (c[name][~known] for name in ("v", "doc", "line", "pos"))
     order, new = _groups(v, pos, doc, line)
-    late = [order[~new]]
+    late = [_later(order, new, doc, line)]
     # a line that is itself the variant (-1) against those that are a word longer
     v, pos = v[order], pos[order]
     start = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1]))) if len(v) else np.empty(0, np.int64)
