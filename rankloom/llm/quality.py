@@ -33,6 +33,8 @@ PAIRS = 40_000
 BINS = 8
 RIDGE = 1.0
 NEWTON_STEPS = 12
+#: Pairs whose differences are held at once.
+BLOCK = 4_000
 
 #: Byte classes; every byte outside them is of the last class.
 _CLASSES = [b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" ", b"\n", b".", b",", b"!", b"?", b"|",
@@ -102,7 +104,7 @@ class Ranking:
 def binned(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """For each feature and inner edge, whether the value lies above the edge, and one linear term."""
     steps = x[:, :, None] > edges[None]
-    return np.concatenate((steps.reshape(len(x), edges.size).astype(float), np.clip(x, -10, 20)), axis=1)
+    return np.concatenate((steps.reshape(len(x), edges.size).astype(np.float32), np.clip(x, -10, 20).astype(np.float32)), axis=1)
 
 
 def fit_ranking(x: np.ndarray, label: np.ndarray, seed: int = 7) -> Ranking:
@@ -116,12 +118,15 @@ def fit_ranking(x: np.ndarray, label: np.ndarray, seed: int = 7) -> Ranking:
     edges = np.sort(np.concatenate((edges, np.quantile(x[bad], levels, axis=0).T), axis=1), axis=1)
     z = binned(x, edges)
     random = np.random.default_rng(seed)
-    difference = z[random.choice(good, PAIRS)] - z[random.choice(bad, PAIRS)]
+    better, worse = random.choice(good, PAIRS), random.choice(bad, PAIRS)
     w = np.zeros(z.shape[1])
     for _ in range(NEWTON_STEPS):
-        p = 1 / (1 + np.exp(np.clip(difference @ w, -30, 30)))
-        slope = difference.T @ p - RIDGE * w
-        bend = (difference * (p * (1 - p))[:, None]).T @ difference + RIDGE * np.eye(len(w))
+        slope, bend = -RIDGE * w, RIDGE * np.eye(len(w))
+        for i in range(0, PAIRS, BLOCK):
+            difference = z[better[i : i + BLOCK]].astype(float) - z[worse[i : i + BLOCK]]
+            p = 1 / (1 + np.exp(np.clip(difference @ w, -30, 30)))
+            slope += difference.T @ p
+            bend += (difference * (p * (1 - p))[:, None]).T @ difference
         step = np.linalg.solve(bend, slope)
         w += step
         if np.abs(step).max() < 1e-4:
