@@ -134,7 +134,7 @@ def test_line_dedup_odd_rows(spark):
     done = line_dedup.deduplicate_lines(docs)
     assert done.columns == [c for c in docs.columns if c not in ("n_lines", "n_removed")] + ["n_lines", "n_removed"]
     got = done.collect()
-    want = brute.line_dedup(NAMED[:10] + NAMED[11:])  # the rows of one id are one document
+    want = brute.line_dedup(NAMED[:9] + NAMED[10:])  # the rows of one id are one document
     assert sorted(map(repr, ((x["doc_id"], x["text"]) for x in got if x["doc_id"] is None))) == sorted(map(repr, [r for r in ODD if r[0] is None]))
     assert all((x["text"], x["n_lines"], x["n_removed"]) == want[x["doc_id"]] for x in got if x["doc_id"] is not None)
     assert line_dedup.deduplicate_lines(brute.frame(spark, [])).collect() == []
