@@ -298,3 +298,37 @@ def deduplicate_lines(
     return done.select(
         *[by_name[c] for c in docs.columns if c in by_name], F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed")
     )
+
+
+#: (doc_id, n_lines, n_removed, text) in SQL, for unique ids.
+ORACLE = r"""
+WITH parts AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n
+  FROM documents
+), lines AS MATERIALIZED (
+  SELECT doc_id, n, line, list_filter(string_split_regex(
+    translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM parts
+), firsts AS MATERIALIZED (
+  SELECT words, min({'d': doc_id, 'n': n}) AS place FROM lines WHERE len(words) >= 5 GROUP BY words
+), variants AS MATERIALIZED (
+  SELECT place, 0 AS pos, md5(array_to_string(words, ' ')) AS v FROM firsts
+  UNION ALL
+  SELECT place, i AS pos, md5(array_to_string(list_concat(words[1:i - 1], words[i + 1:]), ' ')) AS v
+  FROM (SELECT place, words, unnest(range(1, len(words) + 1)) AS i FROM firsts)
+), late AS (
+  SELECT place FROM (SELECT place, min(place) OVER (PARTITION BY v, pos) AS least FROM variants) WHERE least < place
+  UNION
+  SELECT greatest(a.place, b.place) FROM variants a JOIN variants b ON a.v = b.v AND a.pos = 0 AND b.pos > 0
+), marked AS (
+  SELECT l.doc_id, l.n, l.line, len(l.words) >= 5 AS long,
+    len(l.words) >= 5 AND (f.place <> {'d': l.doc_id, 'n': l.n} OR f.place IN (SELECT place FROM late)) AS gone
+  FROM lines l LEFT JOIN firsts f ON f.words = l.words
+), rebuilt AS (
+  SELECT doc_id, count(*) FILTER (WHERE long) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+    string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone) AS rest
+  FROM marked GROUP BY doc_id
+)
+SELECT r.doc_id, n_lines, n_removed, CASE WHEN n_removed = 0 THEN d.text WHEN n_removed = n_lines THEN '' ELSE rest END AS text
+FROM rebuilt r JOIN documents d ON d.doc_id = r.doc_id
+"""

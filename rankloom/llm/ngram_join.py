@@ -523,3 +523,27 @@ def jaccard_components(
     return named.join(least, "c", "left").select(
         "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")
     )
+
+
+#: The same rows in SQL, for unique ids.
+ORACLE = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE
+    WHEN len(words) >= 5 THEN list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')))
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS runs
+  FROM split
+), entries AS MATERIALIZED (SELECT doc_id, hash(unnest(runs)) AS run FROM sets),
+sizes AS MATERIALIZED (SELECT doc_id, CAST(len(runs) AS BIGINT) AS n FROM sets),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM entries a JOIN entries b ON a.run = b.run AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT x, y FROM shared s JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * s.n >= 75 * (p.n + q.n - s.n)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT l.x, r.other FROM reach r JOIN links l ON l.y = r.doc_id
+)
+SELECT s.doc_id, s.n AS n_shingles, min(r.other) AS component_id FROM sizes s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.n
+"""

@@ -11,7 +11,9 @@ from rankloom.llm.decontaminate import benchmark_overlap
 from rankloom.llm.exact_dedup import ORACLE as EXACT_SQL
 from rankloom.llm.exact_dedup import exact_duplicates
 from rankloom.llm.html_extract import main_text
+from rankloom.llm.line_dedup import ORACLE as LINES_SQL
 from rankloom.llm.line_dedup import deduplicate_lines
+from rankloom.llm.ngram_join import ORACLE as JACCARD_SQL
 from rankloom.llm.ngram_join import jaccard_components
 from rankloom.llm.packing import pack
 from rankloom.llm.pii import personal_data
@@ -38,7 +40,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query()
+@query(JACCARD_SQL)
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -48,7 +50,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_overlap(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query()
+@query(LINES_SQL)
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = deduplicate_lines(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_lines", "n_removed", "text")
