@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,9 +77,31 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_SCOPES: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Intermediates made inside go when the block ends; write what must stay elsewhere before that."""
+    root = f"{shared_dir(spark).rstrip('/')}/rankloom/scope-{uuid.uuid4().hex}"
+    _SCOPES.append(root)
+    try:
+        yield root
+    finally:
+        _SCOPES.remove(root)
+        remove(spark, root)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store, whatever file system it is in."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/rankloom/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, or below the innermost ``scratch``."""
+    root = _SCOPES[-1] if _SCOPES else f"{shared_dir(spark).rstrip('/')}/rankloom"
+    return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

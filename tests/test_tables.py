@@ -181,3 +181,15 @@ def test_exact_percentile(spark, q, n):
 
 def test_percentile_of_nothing(spark):
     assert skew.exact_percentile(spark.createDataFrame([], "v double"), "v", 0.95) is None
+
+
+def test_scratch_removes_its_intermediates(spark):
+    from rankloom.session import fresh_path, scratch, staged
+
+    kept = fresh_path(spark, "kept")
+    with scratch(spark) as root:
+        staged(spark.range(5), "inner").write.parquet(kept)
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        assert files.exists(path)
+    assert not files.exists(path) and spark.read.parquet(kept).count() == 5
