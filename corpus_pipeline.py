@@ -13,7 +13,7 @@ from rankloom.llm.line_dedup import deduplicate_lines
 from rankloom.llm.ngram_join import jaccard_components
 from rankloom.llm.packing import pack
 from rankloom.llm.quality import keep_good
-from rankloom.session import staged
+from rankloom.session import fresh_path, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -65,8 +65,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order over the whole ``documents``; each result is written and reread."""
+    """The stages in order over the whole ``documents``; each result is written and reread.
+
+    What a stage stores meanwhile goes once its result is written.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = fresh_path(spark, f"pipeline-{name}")
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
