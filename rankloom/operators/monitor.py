@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rankloom.operators import drift
 from rankloom.operators.skew import exact_percentile
+from rankloom.session import staged
 
 FALLBACK = "popularity_fallback"
 
@@ -144,7 +145,7 @@ def retrain_trigger(drift_row: DataFrame, strategy: str = "trigger", threshold:
 def monitoring_summary(logs: DataFrame, train_share: DataFrame, time: str = "ts", shift_items: int = 10) -> DataFrame:
     """Everything as one nested row: service_metrics, data_behavior, drift, warnings."""
     behaviour = {**user_behaviour(), **strategy_counts()}
-    served = drift.production_distribution(logs)
+    served = staged(drift.production_distribution(logs), "served")  # one row per item, read three times
     shift = drift.top_item_shift(train_share, served, shift_items)
     # One entry per calendar day and at most shift_items items: both lists are short.
     days = requests_per_day(logs, time).agg(F.array_sort(F.collect_list(F.struct("day", "requests")))).scalar()
