@@ -26,23 +26,28 @@ def scatter(bucket: np.ndarray, columns: Columns) -> Iterator[pa.RecordBatch]:
     order = np.argsort(bucket, kind="stable")
     ordered = bucket[order]
     starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    ends = np.append(starts[1:], len(ordered))
     arrays = [pa.array(ordered[starts].astype(np.int32))]
+    bounds = np.append(starts, len(ordered))
     for values in columns.values():
         values = np.ascontiguousarray(values[order])
-        whole, width = memoryview(values).cast("B"), values.itemsize
-        arrays.append(pa.array([whole[a * width : b * width] for a, b in zip(starts, ends, strict=True)], pa.binary()))
+        # the cells lie end to end: offsets over the sorted entries, no object per cell
+        offsets = pa.py_buffer((bounds * values.itemsize).astype(np.int32))
+        arrays.append(pa.Array.from_buffers(pa.binary(), len(starts), [None, offsets, pa.py_buffer(values)]))
     yield pa.RecordBatch.from_arrays(arrays, names=["bucket", *columns])
 
 
 def gather(table: pa.Table | pa.RecordBatch, dtypes: dict[str, str]) -> Columns:
-    """The entries of all rows, column by column."""
+    """The entries of all rows, column by column; the cells of a column lie end to end in its buffer."""
     out = {}
     for name, dtype in dtypes.items():
-        parts = table.column(table.schema.get_field_index(name))
-        chunks = parts.chunks if isinstance(parts, pa.ChunkedArray) else [parts]
-        data = b"".join(value for chunk in chunks for value in chunk.to_pylist() if value)
-        out[name] = np.frombuffer(data, dtype)
+        column = table.column(table.schema.get_field_index(name))
+        parts = []
+        for chunk in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
+            _, offsets, data = chunk.buffers()
+            if data is not None and len(chunk):
+                bounds = np.frombuffer(offsets, np.int32)[chunk.offset : chunk.offset + len(chunk) + 1]
+                parts.append(np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]])
+        out[name] = (np.concatenate(parts) if parts else np.empty(0, np.uint8)).view(dtype)
     return out
 
 

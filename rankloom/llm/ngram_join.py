@@ -35,7 +35,7 @@ from rankloom.session import staged
 WORDS = 5
 PERCENT = 75
 #: Hashes that one task of an exchange holds on average, and those it sorts at once.
-BUCKET_ENTRIES = 3_000_000
+BUCKET_ENTRIES = 1_500_000
 SORTED_ENTRIES = 500_000
 #: Bytes of text whose runs are made at once.
 SET_BYTES = 1 << 19
