@@ -35,7 +35,7 @@ from rankloom.session import staged
 WORDS = 5
 PERCENT = 75
 #: Hashes that one task of an exchange holds on average, and those it sorts at once.
-BUCKET_ENTRIES = 1_500_000
+BUCKET_ENTRIES = 6_000_000
 SORTED_ENTRIES = 500_000
 #: Bytes of text whose runs are made at once.
 SET_BYTES = 1 << 19
@@ -48,7 +48,7 @@ MOST_MATCHES = 8
 #: Cost of verifying one candidate, in postings read.
 VERIFY_COST = 20
 #: Pivots that each list of postings offers its members before all remaining cross pairs.
-PIVOTS = 2
+PIVOTS = 4
 
 _CLASS = "doc_id long, class long, n_shingles long, hot binary"
 _I64, _U64, _I32 = "<i8", "<u8", "<i4"
