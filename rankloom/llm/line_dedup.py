@@ -15,7 +15,8 @@ their last half (of the longer one's length less one word), so halves are counte
 
 Defined results: null and empty text, blank lines and lines of fewer words stay as they are. Rows
 of one doc_id count as one document. Rows without doc_id stay unchanged and repeat nothing. Where
-every countable line of a text goes, the text becomes empty. An empty table gives an empty result.
+every countable line of a text goes, the text becomes empty, its shorter lines included, unless
+``keep_rest`` is set. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -227,7 +228,7 @@ def _late_lines(c: Columns) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _rewrite(min_words: int):
+def _rewrite(min_words: int, keep_rest: bool):
     countable = re.compile(f"{_SPACE}*(?:[^\\x20\\x09-\\x0D]+{_SPACE}+){{{min_words - 1}}}[^\\x20\\x09-\\x0D]")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +246,7 @@ def _rewrite(min_words: int):
                 gone.append(len(drop))
                 if not drop:
                     out.append(text)
-                elif len(drop) == len(long):
+                elif len(drop) == len(long) and not keep_rest:
                     out.append("")
                 else:
                     out.append("\n".join(line for i, line in enumerate(lines) if i not in drop))
@@ -260,11 +261,12 @@ def _rewrite(min_words: int):
 
 
 def deduplicate_lines(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, keep_rest: bool = False
 ) -> DataFrame:
     """``docs`` with repeated lines taken out of the text, plus ``n_lines`` (countable) and ``n_removed``.
 
-    Columns of these two names in ``docs`` are replaced.
+    Columns of these two names in ``docs`` are replaced. With ``keep_rest`` only repeated lines go: a
+    text whose countable lines all go keeps its other lines.
     """
     spark = prepare(docs.sparkSession)
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -293,7 +295,7 @@ def deduplicate_lines(
     )
     kinds = dict(docs.dtypes)
     out = ", ".join([*(f"c{i} {kinds[c]}" for i, c in enumerate(others)), "text string", "_lines long", "_removed long"])
-    done = joined.mapInArrow(_rewrite(min_words), out)
+    done = joined.mapInArrow(_rewrite(min_words, keep_rest), out)
     by_name = {c: F.col(f"c{i}").alias(c) for i, c in enumerate(others)} | {text: F.col("text").alias(text)}
     return done.select(
         *[by_name[c] for c in docs.columns if c in by_name], F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed")

@@ -140,6 +140,12 @@ def test_line_dedup_odd_rows(spark):
     assert line_dedup.deduplicate_lines(brute.frame(spark, [])).collect() == []
 
 
+def test_line_dedup_keeps_lines_that_were_not_compared(spark):
+    rows = [(1, "one line of many words"), (2, "one line of many words\nonly here\n\nand here"), (3, "One line of many words")]
+    got = {x["doc_id"]: x["text"] for x in line_dedup.deduplicate_lines(brute.frame(spark, rows), keep_rest=True).collect()}
+    assert got == {1: "one line of many words", 2: "only here\n\nand here", 3: ""}
+
+
 def _benchmark(spark, items):
     return spark.createDataFrame(items, "item_id long, text string")
 
