@@ -10,10 +10,13 @@ An occurrence stays when it is the earliest (smallest doc_id, then line number)
 line that starts earlier is within the bound. The relation is not closed: a line goes if an earlier
 near line exists, even if that one goes too.
 
+With ``exact_words`` lines of fewer words, but at least that many, are repeated lines when an earlier
+line has the same words (bound 0); they and longer lines are never near each other.
+
 Only lines that can have a neighbour emit variants: two lines within the bound share their first or
 their last half (of the longer one's length less one word), so halves are counted first.
 
-Defined results: null and empty text, blank lines and lines of fewer words stay as they are. Rows
+Defined results: null and empty text, blank lines and lines of too few words stay as they are. Rows
 of one doc_id count as one document. Rows without doc_id stay unchanged and repeat nothing. Where
 every countable line of a text goes, the text becomes empty, its shorter lines included, unless
 ``keep_rest`` is set. An empty table gives an empty result.
@@ -79,16 +82,18 @@ class Lines:
         return keys
 
 
-def _first_lines(min_words: int, buckets: int):
+def _first_lines(least: int, min_words: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in passes(batch):
-                lines = Lines(part.column(1), min_words)
+                lines = Lines(part.column(1), least)
                 doc = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[lines.row]
                 h = lines.whole()
                 at = _earliest(h, doc, lines.number)
                 columns = {"h": h[at], "doc": doc[at], "line": lines.number[at].astype(np.int32)}
-                columns |= {f"k{i}": key[at] for i, key in enumerate(lines.halves())}
+                near = lines.n[at] >= min_words
+                # keys of 0: compared as a whole only
+                columns |= {f"k{i}": np.where(near, key[at], _U(0)) for i, key in enumerate(lines.halves())}
                 yield from scatter((h[at] % _U(buckets)).astype(np.int32), columns)
 
     return run
@@ -115,6 +120,8 @@ def _half_keys(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h, doc, line, *keys = (batch.column(i).to_numpy() for i in range(7))
+            near = (keys[0] != 0) | (keys[1] != 0)
+            h, doc, line, *keys = (values[near] for values in (h, doc, line, *keys))
             # n // 2 and (n + 1) // 2 are equal for even n: then the second pair repeats the first
             odd = keys[0] != keys[2]
             key = np.concatenate((keys[0], keys[1], keys[2][odd], keys[3][odd])).view(np.uint64)
@@ -228,8 +235,8 @@ def _late_lines(c: Columns) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _rewrite(min_words: int, keep_rest: bool):
-    countable = re.compile(f"{_SPACE}*(?:[^\\x20\\x09-\\x0D]+{_SPACE}+){{{min_words - 1}}}[^\\x20\\x09-\\x0D]")
+def _rewrite(least: int, keep_rest: bool):
+    countable = re.compile(f"{_SPACE}*(?:[^\\x20\\x09-\\x0D]+{_SPACE}+){{{least - 1}}}[^\\x20\\x09-\\x0D]")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,19 +268,22 @@ def _rewrite(min_words: int, keep_rest: bool):
 
 
 def deduplicate_lines(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, keep_rest: bool = False
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, exact_words: int | None = None,
+    keep_rest: bool = False,
 ) -> DataFrame:
     """``docs`` with repeated lines taken out of the text, plus ``n_lines`` (countable) and ``n_removed``.
 
-    Columns of these two names in ``docs`` are replaced. With ``keep_rest`` only repeated lines go: a
+    Columns of these two names in ``docs`` are replaced. Lines of ``exact_words`` to ``min_words`` - 1
+    words are countable too, and repeated when equal (None: no such lines). With ``keep_rest`` only repeated lines go: a
     text whose countable lines all go keeps its other lines.
     """
     spark = prepare(docs.sparkSession)
+    least = min(exact_words or min_words, min_words)
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).filter("doc is not null")
 
     names = ["h", "doc", "line", "k0", "k1", "k2", "k3"]
-    posted = source.mapInArrow(_first_lines(min_words, shuffle), schema(names))
+    posted = source.mapInArrow(_first_lines(least, min_words, shuffle), schema(names))
     types = {name: "<u8" for name in names} | {"doc": "<i8", "line": "<i4"}
     firsts = staged(
         by_bucket(posted, shuffle, types, _first_of_all, "h long, doc long, line int, k0 long, k1 long, k2 long, k3 long"), "lines"
@@ -295,7 +305,7 @@ def deduplicate_lines(
     )
     kinds = dict(docs.dtypes)
     out = ", ".join([*(f"c{i} {kinds[c]}" for i, c in enumerate(others)), "text string", "_lines long", "_removed long"])
-    done = joined.mapInArrow(_rewrite(min_words, keep_rest), out)
+    done = joined.mapInArrow(_rewrite(least, keep_rest), out)
     by_name = {c: F.col(f"c{i}").alias(c) for i, c in enumerate(others)} | {text: F.col("text").alias(text)}
     return done.select(
         *[by_name[c] for c in docs.columns if c in by_name], F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed")
@@ -334,3 +344,36 @@ WITH parts AS (
 SELECT r.doc_id, n_lines, n_removed, CASE WHEN n_removed = 0 THEN d.text WHEN n_removed = n_lines THEN '' ELSE rest END AS text
 FROM rebuilt r JOIN documents d ON d.doc_id = r.doc_id
 """
+
+#: The same columns where short lines are compared exactly (``exact_words=1``) and only repeated lines go (``keep_rest``).
+WHOLE_ORACLE = r"""
+WITH parts AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n
+  FROM documents
+), lines AS MATERIALIZED (
+  SELECT doc_id, n, line, list_filter(string_split_regex(
+    translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM parts
+), firsts AS MATERIALIZED (
+  SELECT words, min({'d': doc_id, 'n': n}) AS place FROM lines WHERE len(words) > 0 GROUP BY words
+), variants AS MATERIALIZED (
+  SELECT place, 0 AS pos, md5(array_to_string(words, ' ')) AS v FROM firsts WHERE len(words) >= 5
+  UNION ALL
+  SELECT place, i AS pos, md5(array_to_string(list_concat(words[1:i - 1], words[i + 1:]), ' ')) AS v
+  FROM (SELECT place, words, unnest(range(1, len(words) + 1)) AS i FROM firsts WHERE len(words) >= 5)
+), late AS (
+  SELECT place FROM (SELECT place, min(place) OVER (PARTITION BY v, pos) AS least FROM variants) WHERE least < place
+  UNION
+  SELECT greatest(a.place, b.place) FROM variants a JOIN variants b ON a.v = b.v AND a.pos = 0 AND b.pos > 0
+), marked AS (
+  SELECT l.doc_id, l.n, l.line, len(l.words) > 0 AS countable,
+    len(l.words) > 0 AND (f.place <> {'d': l.doc_id, 'n': l.n} OR f.place IN (SELECT place FROM late)) AS gone
+  FROM lines l LEFT JOIN firsts f ON f.words = l.words
+), rebuilt AS (
+  SELECT doc_id, count(*) FILTER (WHERE countable) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+    string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone) AS rest
+  FROM marked GROUP BY doc_id
+)
+SELECT r.doc_id, n_lines, n_removed, CASE WHEN n_removed = 0 THEN d.text ELSE coalesce(rest, '') END AS text
+FROM rebuilt r JOIN documents d ON d.doc_id = r.doc_id
+"""
