@@ -36,7 +36,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Fit on train; factor count and RMSE of validation predictions."""
     shop = Shop(spark, sf)
-    model = mf.fit_factors(shop.train, rank=8, iterations=4)
+    model = mf.fit_factors(shop.train, rank=50, iterations=20)
     error = mf.rmse(mf.predict(shop.val, model.users, model.items, model.biases.mean))
     sizes = model.users.agg(F.count(F.lit(1)).alias("users")).withColumn("items", model.items.agg(F.count(F.lit(1))).scalar())
     return sizes.withColumn("rmse", error.scalar())
@@ -100,12 +100,16 @@ def _(spark, sf):
     return metrics.best_row(_grid_scores(spark, sf), [F.asc("rmse")], "damping")
 
 
+#: The reference's search space; its learning rates have no counterpart in alternating least squares.
+SEARCH_SPACE = {"rank": [20, 50, 100, 150], "iterations": [20, 40, 60], "reg": [0.02, 0.05, 0.08]}
+SEARCH_BASE = {"rank": 100, "iterations": 25, "reg": 0.02}
+
+
 @query("h6_factor_search")
 def _(spark, sf):
     """Fit and score each candidate, keep the best by MAP, recall, RMSE."""
     shop = Shop(spark, sf)
-    grid = mf.candidate_grid({"rank": [4, 8], "iterations": [2]}, {"rank": 4, "iterations": 2})
-    return mf.best_candidate(mf.search(spark, shop.train, shop.val, grid, K))
+    return mf.best_candidate(mf.search(spark, shop.train, shop.val, mf.candidate_grid(SEARCH_SPACE, SEARCH_BASE), K))
 
 
 # ---- pairwise ranking
@@ -175,9 +179,9 @@ def _(spark, sf):
 
 @query("h11_bpr_fit")
 def _(spark, sf):
-    """Two epochs; validation metrics per epoch."""
+    """Training until validation stops improving, at most 30 epochs; validation metrics per epoch."""
     shop = Shop(spark, sf)
-    model = bpr.fit_bpr(shop.train, shop.val, rank=16, epochs=2, samples=1, rate=0.05, patience=2)
+    model = bpr.fit_bpr(shop.train, shop.val, rank=64, rate=0.03, reg=0.001, epochs=30, samples=200_000, patience=5)
     return model.history.withColumn("best_epoch", F.lit(model.best_epoch))
 
 

@@ -158,3 +158,27 @@ def test_items_without_common_terms_fill_the_list(spark):
     seen = spark.createDataFrame([(1, 1)], "user_id long, movie_id long")
     got = [(r["movie_id"], r["raw_score"], r["min_score"]) for r in content.similar_top_k(profiles, items, seen, 3).orderBy("rank").collect()]
     assert got == [(2, 0.5, 0.0), (3, 0.0, 0.0), (4, 0.0, 0.0)]
+
+
+def test_registered_fits_use_the_settings_of_the_reference(spark, sf_dir, monkeypatch):
+    from rankloom.plans import models
+    from rankloom.plans.registry import QUERIES
+
+    class Seen(Exception):
+        pass
+
+    def stop(*args, **settings):
+        raise Seen(args, settings)
+
+    monkeypatch.setattr(models.bpr, "fit_bpr", stop)
+    monkeypatch.setattr(models.mf, "fit_factors", stop)
+    monkeypatch.setattr(models.mf, "search", stop)
+    found = {}
+    for name in ("h2_factorization", "h6_factor_search", "h11_bpr_fit"):
+        with pytest.raises(Seen) as caught:
+            QUERIES[name](spark, sf_dir)
+        found[name] = caught.value.args
+    assert found["h11_bpr_fit"][1] == dict(rank=64, rate=0.03, reg=0.001, epochs=30, samples=200_000, patience=5)
+    assert found["h2_factorization"][1] == dict(rank=50, iterations=20)
+    grid = found["h6_factor_search"][0][3]
+    assert len(grid) == 4 * 3 * 3 + 1 and grid[-1] == dict(rank=100, iterations=25, reg=0.02)
