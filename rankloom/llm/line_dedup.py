@@ -39,6 +39,8 @@ from rankloom.llm.textbatch import (
 from rankloom.session import staged
 
 MIN_WORDS = 5
+#: Bytes of text per bucket. A word and its separator take two at least, so there are fewer entries than bytes.
+BUCKET_BYTES = 16 << 20
 _U = np.uint64
 _SPACE = "[\\x20\\x09-\\x0D]"
 
@@ -279,21 +281,22 @@ def deduplicate_lines(
     """
     spark = prepare(docs.sparkSession)
     least = min(exact_words or min_words, min_words)
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).filter("doc is not null")
+    size = source.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
 
     names = ["h", "doc", "line", "k0", "k1", "k2", "k3"]
-    posted = source.mapInArrow(_first_lines(least, min_words, shuffle), schema(names))
+    posted = source.mapInArrow(_first_lines(least, min_words, buckets), schema(names))
     types = {name: "<u8" for name in names} | {"doc": "<i8", "line": "<i4"}
     firsts = staged(
-        by_bucket(posted, shuffle, types, _first_of_all, "h long, doc long, line int, k0 long, k1 long, k2 long, k3 long"), "lines"
+        by_bucket(posted, buckets, types, _first_of_all, "h long, doc long, line int, k0 long, k1 long, k2 long, k3 long"), "lines"
     )
-    keyed = firsts.mapInArrow(_half_keys(shuffle), schema(["key", "doc", "line"]))
-    shared = by_bucket(keyed, shuffle, {"key": "<u8", "doc": "<i8", "line": "<i4"}, _shared_halves, "doc long, line int")
+    keyed = firsts.mapInArrow(_half_keys(buckets), schema(["key", "doc", "line"]))
+    shared = by_bucket(keyed, buckets, {"key": "<u8", "doc": "<i8", "line": "<i4"}, _shared_halves, "doc long, line int")
     marks = shared.groupBy("doc").agg(F.collect_set("line").alias("marks"))
     marked = source.join(marks, "doc").select("doc", "text", "marks")
-    emitted = marked.mapInArrow(_variants(min_words, shuffle), schema(list(_VARIANT)))
-    late = by_bucket(emitted, shuffle, _VARIANT, _late_lines, "doc long, line int").distinct()
+    emitted = marked.mapInArrow(_variants(min_words, buckets), schema(list(_VARIANT)))
+    late = by_bucket(emitted, buckets, _VARIANT, _late_lines, "doc long, line int").distinct()
     kept = (
         firsts.select("doc", "line").join(late, ["doc", "line"], "left_anti")
         .groupBy("doc").agg(F.collect_list("line").alias("_kept"))

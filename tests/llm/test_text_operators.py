@@ -153,6 +153,16 @@ def test_line_dedup_of_short_lines(spark):
     assert got == {1: (rows[0][1], 3, 0), 2: ("a b c x\n", 3, 2), 3: ("無空白", 3, 2)}
 
 
+def test_line_dedup_buckets_follow_the_text(spark, monkeypatch):
+    rows = [(i, f"the line {i % 7} of five words\nand line {i % 11} with five more") for i in range(60)]
+    asked, by_bucket = [], line_dedup.by_bucket
+    monkeypatch.setattr(line_dedup, "BUCKET_BYTES", 100, raising=False)
+    monkeypatch.setattr(line_dedup, "by_bucket", lambda df, n, *rest: (asked.append(n), by_bucket(df, n, *rest))[1])
+    got = {x["doc_id"]: (x["text"], x["n_lines"], x["n_removed"]) for x in line_dedup.deduplicate_lines(brute.frame(spark, rows)).collect()}
+    assert got == brute.line_dedup(rows)
+    assert len(asked) == 3 and min(asked) >= sum(len(t) for _, t in rows) // 100
+
+
 def _benchmark(spark, items):
     return spark.createDataFrame(items, "item_id long, text string")
 
