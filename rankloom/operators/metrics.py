@@ -120,6 +120,7 @@ def promotion(current: DataFrame, candidate: DataFrame, epsilon: float = 1e-9) -
     def text(pattern: str, *cols):
         return F.format_string(pattern, *cols)
 
+    # fixed values: "recall_at_k improved", "coverage improved", "did not satisfy promotion rule"
     reason = (
         F.when(better, text("New model: recall_at_k improved (%.6f, then %.6f).", old_recall, recall))
         .when(wider, text("New model: same recall, coverage improved (%.6f, then %.6f).", old_cover, cover))
