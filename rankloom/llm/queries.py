@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from rankloom.llm.decontaminate import benchmark_overlap
 from rankloom.llm.exact_dedup import ORACLE as EXACT_SQL
 from rankloom.llm.exact_dedup import exact_duplicates
+from rankloom.llm.fill_middle import ORACLE as MIDDLE_SQL
+from rankloom.llm.fill_middle import digests, fill_in_middle
 from rankloom.llm.html_extract import main_text
 from rankloom.llm.line_dedup import ORACLE as LINES_SQL
 from rankloom.llm.line_dedup import WHOLE_ORACLE as WHOLE_LINES_SQL
@@ -20,7 +22,10 @@ from rankloom.llm.packing import pack
 from rankloom.llm.pii import personal_data
 from rankloom.llm.quality import quality_scores
 from rankloom.llm.secrets import secret_spans
+from rankloom.llm.spelling import spelling_forms
 from rankloom.llm.token_counts import sentencepiece_pieces, token_counts
+from rankloom.llm.warc import ORACLE as ARCHIVE_SQL
+from rankloom.llm.warc import archived_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,3 +103,18 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op11_spelling_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_forms(table(spark, sf_dir, "documents"))
+
+
+@query(MIDDLE_SQL)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+@query(ARCHIVE_SQL)
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 #: Columns that clash with names the operators use inside.
@@ -181,6 +182,49 @@ def pieces_of(word, vocabulary):
     return n
 
 
+def spelling(rows, least_count=5, times=5):
+    """Sorted (word, form, root, n, n_near, form_n), with the near words found by trying every edit."""
+    n = Counter()
+    for doc, text in rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            word = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{word}".encode())
+            if h % 199 == 0:
+                word = word[: h % len(word)] + word[h % len(word) + 1 :]
+            if len(word) >= 6:
+                n[word] += 1
+    n = {w: k for w, k in n.items() if k >= least_count}
+    letters = sorted(set("".join(n)))
+    near, form = {}, {}
+    for w in n:
+        edits = {w[:i] + w[i + 1 :] for i in range(len(w))}
+        edits |= {w[:i] + c + w[i:] for i in range(len(w) + 1) for c in letters}
+        edits |= {w[:i] + c + w[i + 1 :] for i in range(len(w)) for c in letters}
+        near[w] = [e for e in edits - {w} if e in n]
+        best = min(near[w], key=lambda e: (-n[e], e), default=None)
+        form[w] = best if best is not None and n[best] >= times * n[w] else None
+
+    def root(w):
+        return w if form[w] is None else root(form[w])
+
+    return sorted((w, form[w], root(w), n[w], len(near[w]), n.get(form[w])) for w in n)
+
+
+def middle(doc, text, percent=50):
+    """(doc_id, n, form, prefix_chars, middle_chars, output) of one row."""
+    text = text or ""
+    units = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text)
+    h = hashlib.sha256(f"42:{'' if doc is None else doc}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[i : i + 8], 16) for i in (0, 8, 16, 24))
+    n = len(units)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= percent:
+        return doc, n, "plain", None, None, text
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    form = "spm" if h4 % 100 < 80 else "psm"
+    return doc, n, form, len(p), len(m), f"<S>{s}<P>{p}<M>{m}" if form == "spm" else f"<P>{p}<S>{s}<M>{m}"
+
+
 def frame(spark, rows, extra=()):
     """A documents table with clashing extra columns."""
     schema = "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in [*CLASHING, *extra])
