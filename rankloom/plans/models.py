@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rankloom.functions.text import item_text, terms, tokens
-from rankloom.operators import bpr, clean, content, mf, metrics, topk
+from rankloom.operators import bpr, clean, content, mf, metrics, search, sgd, topk
 from rankloom.operators.skew import spread
 from rankloom.plans import views
 from rankloom.plans.registry import query
 from rankloom.plans.serving import K, METRIC_NAMES, METRIC_SQL, Shop
-from rankloom.plans.sql import metric_ctes, scale_sql, term_rows, token_sql, with_views
+from rankloom.plans.sql import materialized, metric_ctes, scale_sql, term_rows, token_sql, with_views
 from rankloom.plans.staging import rounded
 from rankloom.session import staged
 
@@ -26,20 +26,42 @@ FROM val v LEFT JOIN userbias u ON u.user_id = v.user_id LEFT JOIN itembias i ON
 }
 
 
-@query("h1_bias_predictor", with_views("SELECT user_id, movie_id, rating, round(CAST(baseline AS DOUBLE), 6) AS baseline FROM baselined", **BIAS))
+@query("h1_bias_predictor", materialized(with_views("SELECT user_id, movie_id, rating, round(CAST(baseline AS DOUBLE), 6) AS baseline FROM baselined", **BIAS)))
 def _(spark, sf):
     shop = Shop(spark, sf)
     return rounded(mf.with_biases(shop.val.select("user_id", "movie_id", "rating"), mf.fit_biases(shop.train)), "baseline")
 
 
-@query("h2_factorization")
+SIZES = "(SELECT count(DISTINCT user_id) FROM train) AS users, (SELECT count(DISTINCT movie_id) FROM train) AS items"
+
+
+def _sizes(model_users: DataFrame, model_items: DataFrame) -> DataFrame:
+    return model_users.agg(F.count(F.lit(1)).alias("users")).withColumn("items", model_items.agg(F.count(F.lit(1))).scalar())
+
+
+@query("h2_factorization", with_views(f"SELECT {SIZES}, true AS rmse_in_scale"))
 def _(spark, sf):
-    """Fit on train; factor count and RMSE of validation predictions."""
+    """Alternating fit on train: ids with factors, and whether the RMSE of validation predictions lies within the scale."""
     shop = Shop(spark, sf)
     model = mf.fit_factors(shop.train, rank=50, iterations=20)
     error = mf.rmse(mf.predict(shop.val, model.users, model.items, model.biases.mean))
-    sizes = model.users.agg(F.count(F.lit(1)).alias("users")).withColumn("items", model.items.agg(F.count(F.lit(1))).scalar())
-    return sizes.withColumn("rmse", error.scalar())
+    return _sizes(model.users, model.items).withColumn("rmse_in_scale", error.select(F.col("rmse").between(0.0, 4.0)).scalar())
+
+
+@query("h2_stochastic_factorization", with_views(f"SELECT {SIZES}, 100 AS least_rank, 100 AS most_rank, true AS learned"))
+def _(spark, sf):
+    """Stochastic fit on train with the default settings: ids with factors, their ranks, and whether it beats the mean on train."""
+    train = staged(views.part_of(spark, sf, "train"), "train")
+    layout = sgd.lay_out(train)
+    state = sgd.fit_sgd(layout, rank=100, epochs=25, rate=0.005, reg=0.02)
+    users = staged(sgd.factor_table(state, sgd.USERS, "user_id", layout.mean).drop("epoch"), "users")
+    items = staged(sgd.factor_table(state, sgd.ITEMS, "movie_id").drop("epoch"), "items")
+    sgd.discard(spark, layout)
+    error = mf.rmse(mf.predict(train, users, items, layout.mean)).scalar()
+    ranks = users.select(F.size("factors").alias("n")).unionByName(items.select(F.size("factors").alias("n")))
+    ranks = ranks.agg(F.struct(F.min("n").alias("least"), F.max("n").alias("most"))).scalar()
+    row = _sizes(users, items).withColumns({"_r": ranks, "learned": error < train.agg(F.stddev_pop("rating")).scalar()})
+    return row.select("users", "items", F.col("_r.least").alias("least_rank"), F.col("_r.most").alias("most_rank"), "learned")
 
 
 PREDICTED = {
@@ -100,16 +122,31 @@ def _(spark, sf):
     return metrics.best_row(_grid_scores(spark, sf), [F.asc("rmse")], "damping")
 
 
-#: The reference's search space; its learning rates have no counterpart in alternating least squares.
-SEARCH_SPACE = {"rank": [20, 50, 100, 150], "iterations": [20, 40, 60], "reg": [0.02, 0.05, 0.08]}
-SEARCH_BASE = {"rank": 100, "iterations": 25, "reg": 0.02}
+# The grid of the search and its base setting.
+SEARCH_SPACE = {"n_factors": [20, 50, 100, 150], "n_epochs": [20, 40, 60], "lr_all": [0.002, 0.003, 0.005, 0.007], "reg_all": [0.02, 0.05, 0.08]}
+SEARCH_BASE = {"n_factors": 100, "n_epochs": 25, "lr_all": 0.005, "reg_all": 0.02}
+_AXES = {name: f"SELECT unnest({values}) AS {name}, unnest(range({len(values)})) AS i_{name}" for name, values in SEARCH_SPACE.items()}
+SEARCH = {
+    **{f"axis_{name}": sql for name, sql in _AXES.items()},
+    "fullgrid": f"""SELECT row_number() OVER (ORDER BY {', '.join(f'i_{n}' for n in SEARCH_SPACE)}) - 1 AS candidate, {', '.join(SEARCH_SPACE)}
+FROM axis_n_factors CROSS JOIN axis_n_epochs CROSS JOIN axis_lr_all CROSS JOIN axis_reg_all
+UNION ALL SELECT 144, {', '.join(str(v) for v in SEARCH_BASE.values())}""",
+    "evaluated": "SELECT count(DISTINCT user_id) AS n FROM relevantval WHERE user_id IN (SELECT user_id FROM train)",
+}
 
 
-@query("h6_factor_search")
+@query("h6_factor_search", with_views("""
+SELECT CAST(candidate AS INTEGER) AS candidate, CAST(n_factors AS INTEGER) AS n_factors, CAST(n_epochs AS INTEGER) AS n_epochs,
+       CAST(lr_all AS DOUBLE) AS lr_all, CAST(reg_all AS DOUBLE) AS reg_all, e.n AS users_evaluated, true AS measured
+FROM fullgrid CROSS JOIN evaluated e""", **SEARCH))
 def _(spark, sf):
-    """Fit and score each candidate, keep the best by MAP, recall, RMSE."""
+    """Every candidate of the grid, fitted and scored; whether its measures are all there and within their ranges."""
     shop = Shop(spark, sf)
-    return mf.best_candidate(mf.search(spark, shop.train, shop.val, mf.candidate_grid(SEARCH_SPACE, SEARCH_BASE), K))
+    found = search.search_factors(shop.train, shop.val, SEARCH_SPACE, SEARCH_BASE, K)
+    inside = F.col("rmse").between(1e-9, 4.0)
+    for name in search.METRICS:
+        inside = inside & F.col(name).between(0.0, 1.0)
+    return found.select("candidate", *SEARCH_SPACE, "users_evaluated", F.coalesce(inside, F.lit(False)).alias("measured"))
 
 
 # ---- pairwise ranking
@@ -150,7 +187,18 @@ def _(spark, sf):
     return _negatives(spark, sf)
 
 
-@query("h9_triplet_sampling")
+DRAWS = {
+    **NEGATIVES,
+    "placed": "SELECT user_id, movie_id, row_number() OVER (ORDER BY user_id, movie_id) - 1 AS place FROM pos",
+    "size": "SELECT count(*) AS n FROM pos",
+    "drawn": """SELECT h4 % n AS place, count(*) AS copies FROM (
+  SELECT n, id % 2147483647 AS h0, (h0 * h0 + h0 * 48271 + 42 + 12345) % 2147483647 AS h1, (h1 * h1 + h1 * 48271 + 1 + 12345) % 2147483647 AS h2,
+         (h2 * h2 + h2 * 48271 + 12345) % 2147483647 AS h3, (h3 * h3 + h3 * 48271 + 12345) % 2147483647 AS h4
+  FROM size CROSS JOIN LATERAL (SELECT unnest(range(greatest(5000, n))) AS id) r) d GROUP BY 1""",
+}
+
+
+@query("h9_triplet_sampling", with_views("SELECT p.user_id, p.movie_id, d.copies FROM drawn d JOIN placed p ON p.place = d.place", **DRAWS))
 def _(spark, sf):
     """One epoch's draws with replacement: as many as there are positives, at least 5,000."""
     liked = staged(bpr.positives(staged(views.train(spark, sf), "train")), "liked")
@@ -177,12 +225,27 @@ def _(spark, sf):
     return rounded(rows, "margin", "loss", "step", "user_gradient_norm")
 
 
-@query("h11_bpr_fit")
+@query("h11_bpr_fit", with_views(f"""SELECT {SIZES}, (SELECT n FROM evaluated) AS users_evaluated, true AS best_is_first_maximum,
+       true AS stopped_in_time, CAST(0 AS BIGINT) AS seen_in_lists""", **SEARCH))
 def _(spark, sf):
-    """Training until validation stops improving, at most 30 epochs; validation metrics per epoch."""
+    """Training until validation stops improving, at most 30 epochs: what must hold of the model and its history.
+
+    ``best_is_first_maximum``: the factors are those of the earliest epoch of greatest MAP; ``stopped_in_time``: epochs 1 to the
+    last one are there and it is the 30th or the fifth after the best; ``seen_in_lists``: recommended items that were seen.
+    """
     shop = Shop(spark, sf)
-    model = bpr.fit_bpr(shop.train, shop.val, rank=64, rate=0.03, reg=0.001, epochs=30, samples=200_000, patience=5)
-    return model.history.withColumn("best_epoch", F.lit(model.best_epoch))
+    epochs, patience = 30, 5
+    model = bpr.fit_bpr(shop.train, shop.val, rank=64, rate=0.03, reg=0.001, epochs=epochs, samples=200_000, patience=patience)
+    best = model.history.agg(F.max_by("epoch", F.struct("map_at_k", -F.col("epoch"))).alias("best"), F.max("epoch").alias("last"), F.count(F.lit(1)).alias("n"), F.max("users_evaluated").alias("users_evaluated"))
+    users, items = staged(model.users, "users"), staged(model.items, "items")
+    counted = metrics.eligible_users(metrics.relevant_pairs(shop.val), shop.train)
+    recs = topk.factor_top_k(users.join(counted, "user_id", "left_semi"), items, shop.seen, K)
+    known = recs.join(shop.seen, ["user_id", "movie_id"], "left_semi").agg(F.count(F.lit(1))).scalar()
+    facts = best.select(
+        "users_evaluated", (F.col("best") == model.best_epoch).alias("best_is_first_maximum"),
+        ((F.col("last") == F.col("n")) & (F.col("last") == F.least(F.lit(epochs), F.lit(model.best_epoch + patience)))).alias("stopped_in_time"),
+    )
+    return _sizes(users, items).crossJoin(facts).withColumn("seen_in_lists", known)
 
 
 # ---- content model

@@ -197,6 +197,11 @@ def with_views(body: str, **extra: str) -> str:
     return f"WITH {ctes}\n{body.strip()}" if ctes else body.strip()
 
 
+def materialized(sql: str) -> str:
+    """The same query with every CTE computed once."""
+    return re.sub(r"(?m)^(WITH )?([a-z_0-9]+) AS \(", r"\1\2 AS MATERIALIZED (", sql)
+
+
 def scale_sql(score: str = "raw_score", low: str = "min_score", high: str = "max_score") -> str:
     return (
         f"CASE WHEN abs({high} - {low}) <= 1e-8 + 1e-5 * abs({low}) THEN 3.0 "

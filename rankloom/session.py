@@ -98,6 +98,12 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the shared store has this file or folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target))
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder, or below the innermost ``scratch``."""
     root = _SCOPES[-1] if _SCOPES else f"{shared_dir(spark).rstrip('/')}/rankloom"

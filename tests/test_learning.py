@@ -172,13 +172,15 @@ def test_registered_fits_use_the_settings_of_the_reference(spark, sf_dir, monkey
 
     monkeypatch.setattr(models.bpr, "fit_bpr", stop)
     monkeypatch.setattr(models.mf, "fit_factors", stop)
-    monkeypatch.setattr(models.mf, "search", stop)
+    monkeypatch.setattr(models.sgd, "fit_sgd", stop)
+    monkeypatch.setattr(models.search, "search_factors", stop)
     found = {}
-    for name in ("h2_factorization", "h6_factor_search", "h11_bpr_fit"):
+    for name in ("h2_factorization", "h2_stochastic_factorization", "h6_factor_search", "h11_bpr_fit"):
         with pytest.raises(Seen) as caught:
             QUERIES[name](spark, sf_dir)
         found[name] = caught.value.args
     assert found["h11_bpr_fit"][1] == dict(rank=64, rate=0.03, reg=0.001, epochs=30, samples=200_000, patience=5)
     assert found["h2_factorization"][1] == dict(rank=50, iterations=20)
-    grid = found["h6_factor_search"][0][3]
-    assert len(grid) == 4 * 3 * 3 + 1 and grid[-1] == dict(rank=100, iterations=25, reg=0.02)
+    assert found["h2_stochastic_factorization"][1] == dict(rank=100, epochs=25, rate=0.005, reg=0.02)
+    grid = mf.candidate_grid(*found["h6_factor_search"][0][2:4])
+    assert len(grid) == 4 * 3 * 4 * 3 + 1 and grid[-1] == dict(n_factors=100, n_epochs=25, lr_all=0.005, reg_all=0.02)
