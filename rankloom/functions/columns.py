@@ -74,19 +74,30 @@ def numeric(col: Column) -> Column:
 def numeric_column(df: DataFrame, name: str) -> Column:
     """``numeric`` of a text column; a column that is a number already is only cast, NaN to NULL."""
     if isinstance(df.schema[name].dataType, T.NumericType):
-        value = F.col(name).cast("double")
-        return F.when(~F.isnan(value), value)
+        return plain_number(df, name).cast("double")
     return numeric(F.col(name))
 
 
-def with_numbers(df: DataFrame, names: Iterable[str], suffix: str = "_number") -> DataFrame:
+def with_numbers(df: DataFrame, names: Iterable[str], suffix: str = "_number", whole: bool = False) -> DataFrame:
     """Adds the numeric value of each named column.
 
-    The values pass through a one-row generator: the optimizer copies a plain projection into
-    every later filter and join condition and would parse each text again there.
+    Values of text pass through a one-row generator: the optimizer copies a plain projection into
+    every later filter and join condition and would parse each text again there. Numbers stay plain, and with
+    ``whole`` those of integral types keep their type, so a filter on them reaches the scan.
     """
-    values = F.struct(*[numeric_column(df, n).alias(n + suffix) for n in names])
-    return df.select("*", F.inline(F.array(values)))
+    names = list(names)
+    texts = [n for n in names if not isinstance(df.schema[n].dataType, T.NumericType)]
+    if texts:
+        df = df.select("*", F.inline(F.array(F.struct(*[numeric_column(df, n).alias(n + suffix) for n in texts]))))
+    return df.withColumns({n + suffix: plain_number(df, n) if whole else plain_number(df, n).cast("double") for n in names if n not in texts})
+
+
+def plain_number(df: DataFrame, name: str) -> Column:
+    """A number column as it is, of fractional types as double with NULL for NaN."""
+    if isinstance(df.schema[name].dataType, T.IntegralType):
+        return F.col(name)
+    value = F.col(name).cast("double")
+    return F.when(~F.isnan(value), value)
 
 
 def epoch_timestamp(seconds: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from rankloom.functions.columns import epoch_timestamp, numeric_column, with_numbers
 from rankloom.operators.skew import global_position, latest_per_key
-from rankloom.session import fresh_path
+from rankloom.session import fresh_path, staged
 
 REQUIRED = ("user_id", "movie_id", "rating", "timestamp", "timestamp_dt")
 LOST_NULL, LOST_VALUE, LOST_REFERENCE, PASSED = "null", "invalid_value", "unknown_reference", "passed"
@@ -17,7 +17,7 @@ LOST_NULL, LOST_VALUE, LOST_REFERENCE, PASSED = "null", "invalid_value", "unknow
 def cast_ratings(df: DataFrame) -> DataFrame:
     """Stable types; text that is no number becomes NULL."""
     names = ("user_id", "movie_id", "rating", "timestamp")
-    parsed = with_numbers(df, names)
+    parsed = with_numbers(df, names, whole=True)
     out = parsed.select(*[F.col(f"{c}_number").alias(c) if c in names else F.col(c) for c in df.columns])
     return out.withColumn("timestamp_dt", epoch_timestamp(F.col("timestamp")))
 
@@ -142,17 +142,86 @@ def cleaning_audit(
     )
 
 
-def _keep_frequent(edges: DataFrame, key: str, least: int) -> tuple[DataFrame, DataFrame]:
-    counts = edges.groupBy(key).agg(F.sum("weight").alias("_n"))
-    return edges.join(counts.filter(F.col("_n") >= least).select(key), key, "left_semi"), counts
+#: Edges of one part of a stored adjacency, and the number of parts at least and at most.
+PART_EDGES, LEAST_PARTS, MOST_PARTS = 1_000_000, 16, 4096
+
+
+class _Side:
+    """One kind of id: its edges by part, its first counts, the counts that changed since, and the ids that went."""
+
+    def __init__(self, edges: DataFrame, key: str, other: str, least: int, parts: int) -> None:
+        self.spark, self.root, self.key, self.least, self.parts = edges.sparkSession, fresh_path(edges.sparkSession, "core"), key, least, parts
+        self.first = self.store(edges.groupBy(key).agg(F.sum("weight").alias("_n")), "counts", f"{key} long, _n long")
+        self.gone: list[DataFrame] = []
+        self.changed: DataFrame | None = None
+        if least > 0:
+            # dealt by range, so that the edges of a hot id are spread over tasks and files
+            dealt = edges.select(_part(key, parts), key, other, "weight").repartitionByRange("part", other)
+            dealt.write.partitionBy("part").parquet(f"{self.root}/edges")
+            self.edges = self.spark.read.schema(f"{key} long, {other} long, weight long, part int").parquet(f"{self.root}/edges")
+
+    def store(self, rows: DataFrame, name: str, schema: str) -> DataFrame:
+        rows.write.parquet(f"{self.root}/{name}")
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+
+    def without_gone(self, rows: DataFrame) -> DataFrame:
+        """The rows whose id has not gone."""
+        for ids in self.gone:
+            rows = rows.join(ids, self.key, "left_anti")
+        return rows
+
+    def counts(self, turn: int) -> DataFrame | None:
+        """Counts that may have become rare since the last look: all in the first pass, then those that changed."""
+        if self.changed is None:
+            return self.first if turn == 1 else None
+        if turn > 1:
+            return self.changed.filter("_lost > 0")
+        return self.first.join(self.changed, self.key, "left_anti").unionByName(self.changed.drop("_lost"))
+
+    def leave(self, turn: int) -> tuple[DataFrame | None, int, list[int]]:
+        """The ids that go now; how many there are, and the parts that hold their edges."""
+        counts = self.counts(turn)
+        if counts is None:
+            return None, 0, []
+        rare = self.without_gone(counts.filter((F.col("_n") < self.least) & (F.col("_n") > 0)))
+        ids = self.store(rare.select(self.key), f"gone-{turn}", f"{self.key} long")
+        sizes = ids.groupBy(_part(self.key, self.parts)).count().collect()  # a row per part
+        if sizes:
+            self.gone.append(ids)
+        return ids, sum(r["count"] for r in sizes), [r["part"] for r in sizes]
+
+
+def _part(key: str, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("part")
+
+
+def _lower(a: _Side, b: _Side, ids: DataFrame, touched: list[int], turn: int) -> int:
+    """Takes the edges of ids that went from ``a`` out of the counts of ``b``; returns the rows they stand for.
+
+    Only the parts that hold edges of these ids are read, and only counts of their neighbours change.
+    """
+    edges = b.without_gone(a.edges.filter(F.col("part").isin(touched)).join(ids, a.key, "left_semi"))
+    now = edges.groupBy(b.key).agg(F.sum("weight").alias("_lost"))
+    if b.changed is not None:
+        now = now.join(b.changed.select(b.key, F.col("_n").alias("_later")), b.key, "full").join(b.first, b.key)
+        now = now.withColumn("_n", F.coalesce("_later", "_n")).withColumn("_lost", F.coalesce("_lost", F.lit(0)))
+    else:
+        now = now.join(b.first, b.key)
+    seen = Observation()
+    now = now.select(b.key, (F.col("_n") - F.col("_lost")).alias("_n"), "_lost")
+    now = now.observe(seen, F.coalesce(F.sum("_lost"), F.lit(0)).alias("rows"))
+    b.changed = b.store(now, f"changed-{turn}", f"{b.key} long, _n long, _lost long")
+    return seen.get["rows"]
 
 
 def frequency_filter(df: DataFrame, min_user: int, min_movie: int) -> tuple[DataFrame, dict[str, int]]:
     """Drop rare users, then rare movies, until a pass removes nothing.
 
-    The loop runs on pre-aggregated (user, movie, weight) edges; every pass is one job that
-    writes the remaining edges to the shared folder and observes their number on the way.
+    (user, movie, weight) edges are stored twice, by user and by movie, in parts of bounded size. A pass is driven by the ids
+    that went in the one before: their edges lower the counts of their neighbours, and only those can become rare.
+    So a late pass reads the parts of a few ids and writes the counts that ever changed, not the edges.
     """
+    # fixed values: the field names of the audit
     audit = {
         "min_user_interactions": min_user,
         "min_movie_interactions": min_movie,
@@ -163,33 +232,25 @@ def frequency_filter(df: DataFrame, min_user: int, min_movie: int) -> tuple[Data
     }
     if min_user <= 0 and min_movie <= 0:
         return df, audit
-    spark, root = df.sparkSession, fresh_path(df.sparkSession, "core")
-
-    def store(edges: DataFrame, name: str) -> tuple[DataFrame, int]:
-        """The edges as a stored table, and how many rows they stand for."""
-        seen = Observation()
-        edges.observe(seen, F.coalesce(F.sum("weight"), F.lit(0)).alias("rows")).write.parquet(f"{root}/{name}")
-        return spark.read.parquet(f"{root}/{name}"), seen.get["rows"]
-
-    edges, rows = store(df.groupBy("user_id", "movie_id").agg(F.count(F.lit(1)).alias("weight")), "pass-0")
-    first_rows = rows
+    ids = [F.col(c).cast("long").alias(c) for c in ("user_id", "movie_id")]
+    edges = staged(df.select(*ids).groupBy("user_id", "movie_id").agg(F.count(F.lit(1)).alias("weight")), "edges")
+    parts = max(LEAST_PARTS, min(MOST_PARTS, edges.count() // PART_EDGES))
+    users = _Side(edges, "user_id", "movie_id", min_user, parts)
+    movies = _Side(edges, "movie_id", "user_id", min_movie, parts)
     while True:
         audit["frequency_filter_iterations"] += 1
-        kept, losses = edges, {}
-        for key, least in (("user_id", min_user), ("movie_id", min_movie)):
-            if least > 0:
-                kept, losses[key] = _keep_frequent(kept, key, least)
-        kept, left = store(kept, f"pass-{audit['frequency_filter_iterations']}")
-        if left == rows:
+        turn, lost = audit["frequency_filter_iterations"], 0
+        for side, other, name in ((users, movies, "users"), (movies, users, "movies")):
+            gone, number, touched = side.leave(turn) if side.least > 0 else (None, 0, [])
+            if number:
+                audit[f"{name}_removed_by_frequency_filter"] += number
+                lost += _lower(side, other, gone, touched, turn)
+        audit["ratings_rows_removed_by_frequency_filter"] += lost
+        if not lost:
             break
-        for key, name, least in (("user_id", "users", min_user), ("movie_id", "movies", min_movie)):
-            if key in losses:
-                audit[f"{name}_removed_by_frequency_filter"] += losses[key].filter(F.col("_n") < least).count()
-        edges, rows = kept, left
-    audit["ratings_rows_removed_by_frequency_filter"] = first_rows - rows
-    if rows == first_rows:
+    if not audit["ratings_rows_removed_by_frequency_filter"]:
         return df, audit
-    return df.join(edges.select("user_id", "movie_id"), ["user_id", "movie_id"], "left_semi"), audit
+    return movies.without_gone(users.without_gone(df)).select(*df.columns), audit
 
 
 def prune_dimension(dimension: DataFrame, facts: DataFrame, key: str) -> DataFrame:

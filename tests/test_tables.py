@@ -118,6 +118,32 @@ def test_frequency_filter_against_brute_force(spark, least_user, least_movie):
     assert audit["ratings_rows_removed_by_frequency_filter"] == len(pairs) - len(expected)
 
 
+def test_late_passes_read_only_parts_of_the_worklist(spark, monkeypatch):
+    """A chain that peels off one end id a pass."""
+    chain = [(i, i) for i in range(12)] + [(i, i + 1) for i in range(12)] + [(100 + i, 100 + j) for i in range(6) for j in range(6)]
+    df = spark.createDataFrame(chain, "user_id long, movie_id long")
+    read, lower = [], clean._lower
+    monkeypatch.setattr(clean, "_lower", lambda *a: read.append(len(a[3])) or lower(*a))
+    kept, audit = clean.frequency_filter(df, 2, 2)
+    expected, rounds, users, movies = brute_core(chain, 2, 2)
+    assert rows(kept) == sorted(expected, key=repr) and audit["frequency_filter_iterations"] == rounds > 5
+    assert (audit["users_removed_by_frequency_filter"], audit["movies_removed_by_frequency_filter"]) == (users, movies)
+    assert max(read[1:]) <= 2 < clean.LEAST_PARTS
+
+
+def test_range_filter_reaches_the_scan(spark):
+    path = fresh_path(spark, "numbers")
+    data = [(1, 2, 3.0, 10), (0, 2, 3.0, 10), (1, 2, float("nan"), 10), (1, None, 3.0, 10), (1, 2, 6.0, 10), (3, 4, 5.0, 11)]
+    spark.createDataFrame(data, "user_id long, movie_id int, rating double, timestamp long").write.parquet(path)
+    kept = clean.range_filter(clean.cast_ratings(spark.read.parquet(path)))
+    assert sorted(r["user_id"] for r in kept.collect()) == [1, 3]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = clean.range_filter(clean.cast_ratings(spark.read.parquet(path)))._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters:") :].split("]")[0]
+    assert all(f"GreaterThan({c},0)" in pushed for c in ("user_id", "movie_id", "timestamp")) and "Generate" not in plan
+
+
 def test_frequency_filter_passthrough(spark):
     df = spark.createDataFrame([(1, 1)], "user_id long, movie_id long")
     kept, audit = clean.frequency_filter(df, 0, 0)
