@@ -47,8 +47,11 @@ HOT_FLOOR = 1000
 MOST_MATCHES = 8
 #: Cost of verifying one candidate, in postings read.
 VERIFY_COST = 20
-#: Pivots that each list of postings offers its members before all remaining cross pairs.
+#: Pivots that each list of postings offers its members in one round.
 PIVOTS = 4
+#: A round that links less than this share of the documents that may have a partner is the last one before all remaining
+#: pairs of different components are listed; and the most rounds.
+LAST_SHARE, ROUNDS = 0.01, 6
 
 _CLASS = "doc_id long, class long, n_shingles long, hot binary"
 _I64, _U64, _I32 = "<i8", "<u8", "<i4"
@@ -308,7 +311,7 @@ def _postings(percent: int, buckets: int):
                 matches = adaptive_matches(n, df, percent)
                 need = (n * percent + 99) // 100
                 prefix = np.frombuffer(runs, _U64)[: n - need + matches - (n - len(df))]
-                parts.append((k, label if label is not None else k, matches, prefix))
+                parts.append((k, label if label is not None else k, matches, prefix, n))
             if not parts:
                 continue
             sizes = [len(p[3]) for p in parts]
@@ -320,6 +323,7 @@ def _postings(percent: int, buckets: int):
                     "k": np.repeat(np.array([p[0] for p in parts], np.int64), sizes),
                     "label": np.repeat(np.array([p[1] for p in parts], np.int64), sizes),
                     "l": np.repeat(np.array([p[2] for p in parts], np.int32), sizes),
+                    "n": np.repeat(np.array([p[4] for p in parts], np.int32), sizes),
                 },
             )
 
@@ -338,17 +342,23 @@ def _lists(c: Columns, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return order, start[several], end[several]
 
 
-def _stars(buckets: int):
-    """Every member of a list with each of the list's pivots, its first in ``PIVOTS`` random orders."""
+def _sizes_fit(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes can be similar enough at all."""
+    return 100 * np.minimum(n, m).astype(np.int64) >= percent * np.maximum(n, m).astype(np.int64)
+
+
+def _stars(buckets: int, percent: int, first: int):
+    """Members of a list with the list's pivots, its first in ``PIVOTS`` random orders, where labels differ and sizes fit."""
 
     def work(c: Columns) -> Iterator[pa.RecordBatch]:
         for turn in range(PIVOTS):
-            turned = mix(c["k"].view(np.uint64) + np.uint64(turn))
+            turned = mix(c["k"].view(np.uint64) + np.uint64(first + turn))
             order, start, end = _lists(c, turned)
             at = np.repeat(start, end - start)
-            member = at + (np.arange(len(at)) - np.repeat(np.cumsum(end - start) - (end - start), end - start))
-            a, b = c["k"][order[member]], c["k"][order[at]]
-            pairs, count = _pair_counts(a[a != b], b[a != b])
+            member = order[at + (np.arange(len(at)) - np.repeat(np.cumsum(end - start) - (end - start), end - start))]
+            pivot = order[at]
+            fit = (c["label"][member] != c["label"][pivot]) & _sizes_fit(c["n"][member], c["n"][pivot], percent)
+            pairs, count = _pair_counts(c["k"][member[fit]], c["k"][pivot[fit]])
             yield from scatter(
                 (mix(pairs[:, 0].view(np.uint64)) % np.uint64(buckets)).astype(np.int32),
                 {"a": pairs[:, 0], "b": pairs[:, 1], "count": count.astype(np.int32), "turn": np.full(len(count), turn, np.int32)},
@@ -383,21 +393,21 @@ def _best_star(c: Columns) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((b, -total, a))
         first = np.ones(len(order), bool)
         first[1:] = a[order][1:] != a[order][:-1]
-        best.append(np.stack((a[order][first], b[order][first]), 1))
-    pairs = np.unique(np.concatenate(best), axis=0) if best else np.empty((0, 2), np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, i])) for i in (0, 1)], names=["a", "b"])
+        best.append((a[order][first], b[order][first], np.full(int(first.sum()), turn, np.int32)))
+    columns = [np.concatenate(x) for x in zip(*best)] if best else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)]
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["a", "b", "turn"])
 
 
 #: Pairs made at once from the lists of a bucket, before equal pairs are counted together.
 _CHUNK = 1 << 20
 
 
-def _crosses(buckets: int):
-    """All pairs of a list whose labels differ, counted per pair within the bucket."""
+def _crosses(buckets: int, percent: int):
+    """All pairs of a list whose labels differ and whose sizes fit, counted per pair within the bucket."""
 
     def work(c: Columns) -> Iterator[pa.RecordBatch]:
         order, start, end = _lists(c, c["label"].view(np.uint64))
-        label, k, l = c["label"][order], c["k"][order], c["l"][order]
+        label, k, l, n = (c[name][order] for name in ("label", "k", "l", "n"))
         left: list[np.ndarray] = []
         right: list[np.ndarray] = []
         size = 0
@@ -417,9 +427,10 @@ def _crosses(buckets: int):
                 # members g..h of one label against all members after them in the list
                 rest = e - h
                 for one in range(g, h) if rest else ():
-                    left.append(np.full(rest, one))
-                    right.append(np.arange(h, e))
-                    size += rest
+                    fit = h + np.flatnonzero(_sizes_fit(n[h:e], n[one], percent))
+                    left.append(np.full(len(fit), one))
+                    right.append(fit)
+                    size += len(fit)
                     if size >= _CHUNK:
                         yield from flush()
                         left.clear()
@@ -477,6 +488,41 @@ def _linked(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_verify(percent), "a long, b long")
 
 
+def _component(column: str, labels: DataFrame) -> tuple[DataFrame, str]:
+    """The labels as a table (column, column_c) to join with."""
+    return labels.select(F.col("node").alias(column), F.col("component").alias(f"{column}_c")), f"{column}_c"
+
+
+def _apart(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The pairs whose ends are not in one component yet."""
+    if labels is None:
+        return pairs
+    for end in ("a", "b"):
+        table, name = _component(end, labels)
+        pairs = pairs.join(table, end, "left").withColumn(name, F.coalesce(name, end))
+    return pairs.filter("a_c <> b_c").select("a", "b")
+
+
+def _joined(labels: DataFrame | None, links: DataFrame) -> tuple[DataFrame, int]:
+    """(node, component) after more links, and the number of these links.
+
+    Only the components that the links join are searched again.
+    """
+    number = links.count()
+    if labels is None:
+        return staged(components(links), "labels"), number
+    if not number:
+        return labels, 0
+    ends = links
+    for end in ("a", "b"):
+        table, name = _component(end, labels)
+        ends = ends.join(table, end, "left").withColumn(name, F.coalesce(name, end))
+    moved = staged(components(ends.select(F.col("a_c").alias("a"), F.col("b_c").alias("b"))), "moved")
+    moved_to = moved.select(F.col("node").alias("component"), F.col("component").alias("now"))
+    old = labels.join(moved_to, "component", "left").select("node", F.coalesce("now", "component").alias("component"))
+    return staged(old.unionByName(moved.join(labels.select("node"), "node", "left_anti")), "labels"), number
+
+
 def jaccard_components(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
@@ -500,20 +546,31 @@ def jaccard_components(
         "profiles",
     )
 
-    entries = {"run": _U64, "k": _I64, "label": _I64, "l": _I32}
-    alone = profiles.select("class", "n", "runs", "dfs", F.lit(None).cast("long").alias("component"))
-    postings = alone.mapInArrow(_postings(percent, buckets), schema(["run", "k", "label", "l"]))
-    met = by_bucket(postings, buckets, entries, _stars(buckets), schema(["a", "b", "count", "turn"]))
-    stars = by_bucket(met, buckets, {"a": _I64, "b": _I64, "count": _I32, "turn": _I32}, _best_star, "a long, b long")
-    links = staged(_linked(stars, profiles, percent), "links")
-    labels = components(links)
-
-    labelled = profiles.join(labels, F.col("class") == F.col("node"), "left").select("class", "n", "runs", "dfs", "component")
-    postings = labelled.mapInArrow(_postings(percent, buckets), schema(["run", "k", "label", "l"]))
-    met = by_bucket(postings, buckets, entries, _crosses(buckets), schema(["a", "b", "count", "l"]))
+    entries = {"run": _U64, "k": _I64, "label": _I64, "l": _I32, "n": _I32}
+
+    def postings(labels: DataFrame | None) -> DataFrame:
+        none = F.lit(None).cast("long").alias("component")
+        known = profiles.withColumn("component", none) if labels is None else profiles.join(labels, F.col("class") == F.col("node"), "left")
+        rows = known.select("class", "n", "runs", "dfs", "component")
+        return rows.mapInArrow(_postings(percent, buckets), schema(list(entries)))
+
+    size = profiles.count()
+    labels: DataFrame | None = None
+    for turn in range(ROUNDS):
+        met = by_bucket(postings(labels), buckets, entries, _stars(buckets, percent, turn * PIVOTS), schema(["a", "b", "count", "turn"]))
+        stars = staged(
+            by_bucket(met, buckets, {"a": _I64, "b": _I64, "count": _I32, "turn": _I32}, _best_star, "a long, b long, turn int"), "stars"
+        )
+        linked = 0
+        for order in range(PIVOTS):
+            pairs = _apart(stars.filter(F.col("turn") == order).select("a", "b"), labels)
+            labels, new = _joined(labels, staged(_linked(pairs, profiles, percent), "links"))
+            linked += new
+        if linked <= LAST_SHARE * size:
+            break
+    met = by_bucket(postings(labels), buckets, entries, _crosses(buckets, percent), schema(["a", "b", "count", "l"]))
     crosses = by_bucket(met, buckets, {"a": _I64, "b": _I64, "count": _I32, "l": _I32}, _matched, "a long, b long")
-    found = staged(_linked(crosses, profiles, percent), "links")
-    labels = components(links.unionByName(found))
+    labels, _ = _joined(labels, staged(_linked(crosses, profiles, percent), "links"))
 
     named = (
         classes.join(labels, F.col("class") == F.col("node"), "left")
