@@ -49,8 +49,8 @@ MOST_MATCHES = 8
 VERIFY_COST = 20
 #: Pivots that each list of postings offers its members in one round.
 PIVOTS = 4
-#: A round that links less than this share of the documents that may have a partner is the last one before all remaining
-#: pairs of different components are listed; and the most rounds.
+#: A round whose later orders link less than this share of the documents that may have a partner is the last one before all
+#: remaining pairs of different components are listed; and the most rounds.
 LAST_SHARE, ROUNDS = 0.01, 4
 
 _CLASS = "doc_id long, class long, n_shingles long, hot binary"
@@ -562,12 +562,10 @@ def jaccard_components(
             by_bucket(met, buckets, {"a": _I64, "b": _I64, "count": _I32, "turn": _I32}, _best_star, "a long, b long, turn int"), "stars"
         )
         # most members find their group by the first order; only the others' pairs are verified after that
-        linked = 0
         for orders in (F.col("turn") == 0, F.col("turn") > 0):
             pairs = _apart(stars.filter(orders).select("a", "b").distinct(), labels)
-            labels, new = _joined(labels, staged(_linked(pairs, profiles, percent), "links"))
-            linked += new
-        if turn and linked <= LAST_SHARE * size:
+            labels, late = _joined(labels, staged(_linked(pairs, profiles, percent), "links"))
+        if late <= LAST_SHARE * size:
             break
     met = by_bucket(postings(labels), buckets, entries, _crosses(buckets, percent), schema(["a", "b", "count", "l"]))
     crosses = by_bucket(met, buckets, {"a": _I64, "b": _I64, "count": _I32, "l": _I32}, _matched, "a long, b long")
