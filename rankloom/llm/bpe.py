@@ -21,11 +21,12 @@ _ASCII_LETTER = ((_BYTES | 32) >= 97) & ((_BYTES | 32) <= 122) & (_BYTES < 128)
 _ASCII_SIGN = (_BYTES > 32) & (_BYTES < 127) & ~_ASCII_LETTER & ~((_BYTES >= 48) & (_BYTES <= 57))
 
 
-def chunk_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def chunk_starts(data: np.ndarray, bounds: np.ndarray, whole: tuple[bytes, ...] = ()) -> np.ndarray:
     """Places where the byte-level pre-tokenizer always begins a token, whatever stands around.
 
     That is before a space or line feed after a character that is surely not white space, after a
-    single line feed between two such characters, and between a letter and an ASCII sign.
+    single line feed between two such characters, and between a letter and an ASCII sign, but never
+    inside one of the strings ``whole``, which a tokenizer takes out of the text first.
     """
     doubtful = (data == _DOUBTFUL_2) | np.isin(data, _DOUBTFUL_3)
     solid = data > 32
@@ -43,6 +44,13 @@ def chunk_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     letter = _ASCII_LETTER[data]
     letter[1:] |= (data[:-1] == _LATIN) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
     cut[1:-1] |= letter[:-1] & _ASCII_SIGN[data[1:]]
+    if whole:
+        page = data.tobytes()
+        for added in whole:
+            at = page.find(added)
+            while at >= 0:
+                cut[at + 1 : at + len(added)] = False
+                at = page.find(added, at + 1)
     cut[bounds] = True
     cut[-1] = False
     return np.flatnonzero(cut)
@@ -56,7 +64,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True
+        added = list(self.tokenizer.get_added_tokens_decoder().values())
+        if any(token.lstrip or token.rstrip or token.single_word or token.normalized for token in added):
+            raise ValueError("added tokens that read their surroundings cannot be encoded chunk by chunk")
+        self.whole = tuple(token.content.encode() for token in added)
         self._clear()
 
     def _clear(self) -> None:
@@ -84,7 +95,7 @@ class Encoder:
         data, bounds = text_buffers(column)
         if not len(data):
             return np.empty(0, np.uint16), np.zeros(len(bounds), np.int64)
-        starts = chunk_starts(data, bounds[:-1][np.diff(bounds) > 0])
+        starts = chunk_starts(data, bounds[:-1][np.diff(bounds) > 0], self.whole)
         ends = np.append(starts[1:], len(data))
         keys, example, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
         new = np.flatnonzero(~self._known(keys))
