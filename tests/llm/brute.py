@@ -6,6 +6,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 #: Columns that clash with names the operators use inside.
@@ -253,3 +254,45 @@ def near_copies(random, count=60, vocabulary=400):
             text = "\n".join(" ".join(word() for _ in range(random.randint(1, 30))) for _ in range(random.randint(1, 4)))
         rows.append((doc, text))
     return rows
+
+
+class Blocks(HTMLParser):
+    """Texts between block tags, by the parser of the standard library; for pages whose hidden elements are closed."""
+
+    HIDDEN = {"script", "style", "template", "svg", "iframe", "noscript", "object", "canvas", "select", "textarea", "title", "annotation"}
+    BLOCKS = {"html", "head", "body", "article", "section", "div", "p", "h1", "ul", "li", "table", "tr", "td", "nav", "hr", "blockquote", "pre"}
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.texts, self.parts, self.depth = [], [], 0
+        self.feed(page)
+        self.close()
+        self.flush()
+
+    def flush(self):
+        text = " ".join("".join(self.parts).split())
+        if text:
+            self.texts.append(text)
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag in self.HIDDEN
+        if tag == "br":
+            self.parts.append(" ")
+        if tag in self.BLOCKS and not self.depth:
+            self.flush()
+
+    def handle_startendtag(self, tag, attrs):
+        if tag == "br":
+            self.parts.append(" ")
+        if tag in self.BLOCKS and not self.depth:
+            self.flush()
+
+    def handle_endtag(self, tag):
+        if tag in self.BLOCKS and not self.depth:
+            self.flush()
+        self.depth -= tag in self.HIDDEN
+
+    def handle_data(self, data):
+        if not self.depth:
+            self.parts.append(data)

@@ -6,6 +6,7 @@ import html
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -231,6 +232,65 @@ def test_blocks():
     assert html_blocks.leaf_blocks("") == [] and html_blocks.leaf_blocks("<p") != []
 
 
+def random_page(r):
+    """Markup with optional tags left out, odd attributes, hidden elements, comments and references."""
+    words = ["one", "two", "A&amp;B", "&lt;i&gt;", "caf\u00e9", "3 &gt; 2", "a&nbsp;b", "&#8212;", "x&eacute;"]
+    attributes = ["", "", ' class="c d"', " id='a>b'", ' title="x < y > z"', " data-x=1 hidden", ' alt="it\'s"', " href=/a?b=1&c=2"]
+    hidden = ['<script>if (a < b) "</p>";</script>', "<style>p > a {}</style>", "<svg><g><text>no</text></g></svg>", "<template><p>no</p></template>",
+              "<select><option>no<option>no</select>", "<noscript><img src=x>no</noscript>", "<!-- no <p> no -->", "<textarea><p>no</textarea>"]
+
+    def text():
+        out = []
+        for _ in range(r.randint(1, 5)):
+            word, way = r.choice(words), r.random()
+            if way < 0.25:
+                name = r.choice(["b", "a", "span", "em", "code", "mi"])
+                word = f"<{name}{r.choice(attributes)}>{word}</{name}>"
+            elif way < 0.35:
+                word += r.choice(hidden)
+            elif way < 0.45:
+                word += r.choice(["<br>", "<br/>", "<wbr>", "<img src='a'>"])
+            out.append(word)
+        return r.choice([" ", "\n\t"]).join(out)
+
+    def block(deep):
+        name = r.choice(["p", "li", "div", "section", "h1", "td", "blockquote", "pre"])
+        inner = "".join(block(deep - 1) if deep and name in ("div", "section", "td") and r.random() < 0.5 else text() for _ in range(r.randint(1, 3)))
+        return f"<{name}{r.choice(attributes)}>{inner}" + ("" if name in ("p", "li", "td") and r.random() < 0.5 else f"</{name}>")
+
+    head = r.choice(["", "<head><title>no</title><meta charset=x><style>no</style></head>", "<head><title>no</title><link rel=x>"])
+    return r.choice(["", "<!DOCTYPE html>"]) + r.choice(["", "<html>"]) + head + r.choice(["", "<body>"]) + "".join(block(3) for _ in range(r.randint(1, 6)))
+
+
+def test_blocks_against_a_second_parser():
+    r = random.Random(11)
+    for _ in range(3000):
+        page = random_page(r)
+        assert [b.text for b in html_blocks.leaf_blocks(page)] == brute.Blocks(page).texts, page
+
+
+def test_blocks_of_broken_pages():
+    def texts(page):
+        return [b.text for b in html_blocks.leaf_blocks(page)]
+
+    assert texts("<html><head><title>t</title><article><p>hello world</p></article></html>") == ["hello world"]
+    assert texts("<head><noscript><img src=x></noscript><meta>Hi <p>yo") == ["Hi", "yo"]
+    assert texts("<p>Let <math><mi>x</mi><annotation>no</annotation></math> be</p>") == ["Let x be"]
+    assert texts('<p title="it>hello there</p>') == ["hello there"]
+    assert texts("a <b and 3 > 2") == ["a <b and 3 > 2"] and texts("<p>a < b and c<d</p>") == ["a < b and c<d"]
+    assert texts("<title>abc<p>def") == ["abc", "def"] and texts("<p>Hi <svg><p>out</svg>") == ["Hi", "out"]
+    assert texts("<p>x<script>no") == ["x"]
+    deep = html_blocks.leaf_blocks("<div class=c>" * 500 + "x")
+    assert deep[0].text == "x" and len(deep[0].path) == 2 * html_blocks.PATH_ELEMENTS
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<!", '<a b="', "<script", "</", "<title>", "<div>x", "<svg><g>", "<b><div></div>"])
+def test_blocks_in_linear_time(unit):
+    start = time.process_time()
+    html_blocks.leaf_blocks(unit * (1_000_000 // len(unit)))
+    assert time.process_time() - start < 20  # a quadratic reader takes hours
+
+
 def test_labeller_on_unseen_layouts_and_pages(spark):
     rows = spark.read.parquet(f"{SF}/pages.parquet").select("html").collect()
     net = html_extract.train(*html_extract.training_pages([r.html for r in rows[:60]]))
