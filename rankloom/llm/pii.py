@@ -1,17 +1,21 @@
 """Personal data by a linear-chain conditional random field over word shapes.
 
 Four kinds have a written form that is always reported (``base``): email, ip, card, phone. A chain over
-the words of a text adds spans that look alike without matching a form; what a form matched and its
-check refused (a wrong check digit) stays unreported. The label of a word is one of the kinds or none;
+the words of a text adds spans of these kinds that match no form: phones without a plus sign, masked or dotless
+emails, addresses of version 6, cards with other signs between the groups. What a form matched and its
+check refused (a wrong check digit) stays unreported. The label of a word is none, or the begin or the inside of one of the kinds;
 its features are the word's shape (letters, digits and signs), the collapsed shape, those of both
-neighbours, and the length. It is trained by maximum likelihood on a small table of words that the
-base spans of a bounded sample label, and decoded by Viterbi.
+neighbours, the signs between letters and digits, the length and the word before.
 
-A word of letters only, but for closing punctuation, is never part of a span. Fixing its label cuts a text
+It is trained by maximum likelihood on a small labelled table that is written here from a seed: such spans and look-alikes
+(dates, prices, versions, ids, references) between invented words. The words that the written forms cover in a bounded sample
+join it, the word before them hidden; other words of the sample are not labelled, so they teach nothing. Decoding is Viterbi's.
+
+A word without a digit and without one of ``@([{<-:+`` (but for a closing colon) is never part of a span. Fixing its label cuts a text
 into runs of other words that are decoded exactly and all in step, whatever their number in a batch.
 
 Defined results: null counts as empty and has no span; a repeated row is searched each time; without a base
-span in the sample the chain adds nothing. An empty table gives an empty result.
+span in the sample the table alone teaches. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,19 +30,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.textbatch import passes, prepare, sample, span_hashes, text_buffers, word_spans
+from rankloom.llm.textbatch import Covered, code_points, lowered, passes, prepare, sample, span_hashes, text_buffers, word_spans
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents the chain is trained on at most: half of them any, half with a digit or an at sign.
+#: Rows of the labelled table, and documents with a digit or an at sign that join it at most.
+TABLE_ROWS = 6_000
 SAMPLE_ROWS = 3_000
 #: Longest text of that sample.
 SAMPLE_CHARS = 200_000
 #: Hashed features and training steps.
 SLOTS = 1 << 14
-STEPS = 60
+FEATURES = 7
+STEPS = 100
 PENALTY = 1e-3
 #: Distinct runs of words in the training table at most, and words of a training run.
-TRAINING_RUNS = 6_000
+TRAINING_RUNS = 12_000
 TRAINING_WORDS = 40
 
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -82,7 +88,8 @@ def base_spans(text: str, rejected: list[Span] | None = None) -> list[Span]:
     for found in _CARD.finditer(text):
         digits = found.group().replace(" ", "").replace("-", "")
         fits = 13 <= len(digits) <= 19 and luhn(digits)
-        (spans if fits else dropped).append(("card", found.start(), found.end()))
+        if fits or len(digits) >= 13:  # fewer digits are a number of any kind
+            (spans if fits else dropped).append(("card", found.start(), found.end()))
     for found in _PHONE.finditer(text):
         fits = 9 <= sum(c in "0123456789" for c in found.group()) <= 15
         (spans if fits else dropped).append(("phone", found.start(), found.end()))
@@ -104,6 +111,10 @@ def _shape_table() -> np.ndarray:
 _SHAPE = _shape_table()
 #: Signs that may close a word of letters.
 _CLOSING = np.isin(np.arange(256), list(b".,;:!?\"')"))
+#: A word without one of these is plain.
+_TELLING = np.isin(np.arange(256), list(b"0123456789@([{<-:+"))
+#: Signs that are not part of a span at its end, at its start.
+_AFTER, _QUOTES = _CLOSING, np.isin(np.arange(256), list(b"\"'"))
 
 
 @dataclass
@@ -125,10 +136,10 @@ def _slots(hashes: np.ndarray, salt: int) -> np.ndarray:
 def word_runs(data: np.ndarray, bounds: np.ndarray) -> Runs:
     starts, ends, first = word_spans(data, bounds)
     shape = _SHAPE[data] if len(data) else data
-    odd = np.concatenate(([0], np.cumsum((shape != ord("a")) & (shape != ord("A")))))
+    odd = np.concatenate(([0], np.cumsum(_TELLING[data]))) if len(data) else np.zeros(1, np.int64)
     last = ends - 1
     signs = odd[ends] - odd[starts]
-    closed = _CLOSING[data[last]] if len(starts) else np.zeros(0, bool)
+    closed = _CLOSING[data[last]] & _TELLING[data[last]] if len(starts) else np.zeros(0, bool)
     plain = (signs == 0) | ((signs == 1) & closed)
     at = np.flatnonzero(~plain)
     row = np.searchsorted(first, at, side="right") - 1
@@ -145,8 +156,12 @@ def word_runs(data: np.ndarray, bounds: np.ndarray) -> Runs:
     left = np.where(at > first[row], left, np.uint64(1))
     right = np.where(at + 1 < first[row + 1], right, np.uint64(2))
     size = np.minimum(ends[at] - starts[at], 30).astype(np.uint64)
-    slots = np.column_stack([_slots(v, i + 1) for i, v in enumerate((full[here], collapsed[here], left, right, size))])
-    return Runs(starts[at], ends[at], row, begins, slots.reshape(len(at), 5))
+    blurred = np.where((shape == ord("a")) | (shape == ord("A")), ord("0"), shape).astype(np.uint8) if len(at) else shape
+    signs_only = _collapsed(blurred, starts[at], ends[at])
+    cue = span_hashes(lowered(data), starts[before], ends[before]) if len(at) else np.empty(0, np.uint64)
+    cue = np.where(at > first[row], cue, np.uint64(1))
+    slots = np.column_stack([_slots(v, i + 1) for i, v in enumerate((full[here], collapsed[here], left, right, size, signs_only, cue))])
+    return Runs(starts[at], ends[at], row, begins, slots.reshape(len(at), FEATURES))
 
 
 def _collapsed(shape: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -224,7 +239,7 @@ def _expected(emit: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return single, pair
 
 
-def train(runs: list[tuple[np.ndarray, np.ndarray, int]], labels: int = len(KINDS) + 1) -> Chain:
+def train(runs: list[tuple[np.ndarray, np.ndarray, int]], labels: int = 2 * len(KINDS) + 1) -> Chain:
     """Maximum likelihood with a small penalty; ``runs``: (features, labels, times)."""
     weights, moves = np.zeros((SLOTS, labels)), np.zeros((labels, labels))
     by_size: dict[int, list] = {}
@@ -257,32 +272,128 @@ def train(runs: list[tuple[np.ndarray, np.ndarray, int]], labels: int = len(KIND
     return Chain(weights, moves)
 
 
-def labelled_runs(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """The training table: distinct runs of words with the labels of the base spans over them."""
+def labelled_table(size: int, seed: int) -> list[tuple[str, list[Span]]]:
+    """Lines of invented words with their spans, most of which no form covers, and with look-alikes."""
+    random = np.random.default_rng(seed)
+
+    def pick(options):
+        return options[int(random.integers(len(options)))]
+
+    def n(low: int, high: int | None = None) -> str:
+        return "".join(pick("0123456789") for _ in range(int(random.integers(low, (high or low) + 1))))
+
+    def word() -> str:
+        made = "".join(pick("bcdfghlmnprstvwz") + pick("aeiou\u00e9\u00fc") + pick(["", "", "n", "r", "st"]) for _ in range(int(random.integers(1, 4))))
+        return pick([made, made, made, made.capitalize(), made.upper()])
+
+    def name() -> str:
+        return pick("bcdfgklmnprst") + pick("aeiou") + pick("lmnrst") + pick(["", "a", "er", "son", n(1, 2)])
+
+    def six() -> str:
+        return "".join(pick("0123456789abcdef") for _ in range(int(random.integers(1, 5))))
+
+    top = ["com", "org", "net", "de", "fr", "es"]
+    spans = (
+        ("phone", lambda: f"({n(3)}) {n(3)}-{n(4)}"),
+        ("phone", lambda: f"{n(3)}-{n(3)}-{n(4)}"),
+        ("phone", lambda: f"{n(3)}.{n(3)}.{n(4)}"),
+        ("phone", lambda: f"1-{n(3)}-{n(3)}-{n(4)}"),
+        ("phone", lambda: f"0{n(2, 4)} {n(3, 4)} {n(3, 4)}"),
+        ("phone", lambda: f"0{n(2, 4)}/{n(6, 8)}"),
+        ("phone", lambda: f"00{n(2)} {n(2, 3)} {n(6, 8)}"),
+        ("phone", lambda: f"0{n(1)} {n(2)} {n(2)} {n(2)} {n(2)}"),
+        ("email", lambda: f"{name()}@{pick(['localhost', 'mail', 'intranet', name()])}"),
+        ("email", lambda: f"{name()}{pick(['[at]', '(at)', '{at}', '<at>'])}{name()}.{pick(top)}"),
+        ("email", lambda: f"{name()}.{name()}{pick(['[at]', '(at)'])}{name()}{pick(['[dot]', '(dot)'])}{pick(top)}"),
+        ("ip", lambda: ":".join(six() for _ in range(8))),
+        ("ip", lambda: f"{six()}:{six()}::{six()}:{six()}"),
+        ("ip", lambda: f"{six()}:{six()}:{six()}::{six()}"),
+        ("ip", lambda: pick(["[.]", "(.)"]).join(str(random.integers(256)) for _ in range(4))),
+        ("card", lambda: pick([".", "/", "_"]).join(n(4) for _ in range(4))),
+        ("card", lambda: " - ".join(n(4) for _ in range(4))),
+        ("email", lambda: f"{name()}{pick(['.', '_', ''])}{n(0, 2)}@{name()}.{pick(top)}"),
+        ("ip", lambda: ".".join(str(random.integers(256)) for _ in range(4))),
+        ("phone", lambda: f"+{n(1, 2)} ({n(3)}) {n(3)}-{n(4)}"),
+    )
+    others = (
+        lambda: f"{n(4)}-{n(2)}-{n(2)}", lambda: f"{n(1, 2)}/{n(1, 2)}/{n(4)}", lambda: f"{n(1, 2)}.{n(1, 2)}.{n(2, 4)}",
+        lambda: f"{n(1, 2)}:{n(2)}", lambda: f"{n(2)}:{n(2)}:{n(2)}", lambda: f"{n(2)}:{n(2)}-{n(2)}:{n(2)}", lambda: f"{n(4)}-{n(4)}",
+        lambda: f"{n(1, 3)}-{n(1, 3)}", lambda: pick("$\u20ac\u00a3") + f"{n(1, 4)}.{n(2)}", lambda: f"{n(1, 3)},{n(2)}\u20ac", lambda: f"{n(1, 2)}%",
+        lambda: f"{n(1, 3)},{n(3)},{n(3)}", lambda: f"{n(1, 3)}.{n(3)}", lambda: n(1, 7), lambda: f"v{n(1)}.{n(1, 2)}.{n(1, 2)}",
+        lambda: f"{n(1)}.{n(1, 2)}.{n(1, 2)}", lambda: f"{n(1)}.{n(1, 2)}.{n(1, 2)}-{pick(['rc', 'beta'])}{n(1)}", lambda: f"({n(1, 4)})", lambda: f"[{n(1, 3)}]",
+        lambda: f"{pick(['INV', 'ID', 'PO', 'RFC'])}-{n(4)}-{n(3, 6)}", lambda: f"{pick(['No.', 'p.', 'S.', '#'])}{n(1, 4)}", lambda: f"ISBN-{n(3)}-{n(1)}-{n(5)}",
+        lambda: " ".join(f"{word()}{mark}" for mark in [pick(["%%%", "&&&", "!!", "***", ",!!"])] for _ in range(int(random.integers(2, 25)))),
+        lambda: " ".join(n(1, 4) for _ in range(int(random.integers(2, 4)))), lambda: "! ".join(word() for _ in range(3)) + "!!",
+        lambda: word() + pick(["%%%", "&&&", "$$$", "***", "###", "!!", "...", ",!!", ".&&&", "?!"]), lambda: pick("|=-+/*<>&~\u2014"),
+        lambda: f"{word()}-{word()}", lambda: f"{word()}'s", lambda: f"{word()}/{word()}", lambda: f"({word()})", lambda: f"\"{word()}\"", lambda: f"{word()}_{word()}",
+        lambda: f"https://{name()}.{pick(top)}/{name()}?{name()}={n(1, 3)}", lambda: f"www.{name()}.{pick(top)}", lambda: f"@{name()}", lambda: f"#{name()}{n(0, 3)}",
+        lambda: f"{name()}@", lambda: f"{name()}={n(1, 4)}", lambda: f"{name()}({n(1)})", lambda: f"{name()}[{n(1)}]", lambda: f"{name()}.{pick(['py', 'txt', 'html'])}",
+        lambda: f"{n(1, 2)}{pick(['st', 'th', 'km', 'kg', 'x', 'MB'])}", lambda: f"{pick('ABC')}{n(1, 2)}", lambda: f"{n(1, 2)}.{n(4)},{n(1, 2)}.{n(4)}", lambda: f"0x{six()}",
+        lambda: "".join(six() for _ in range(10)), lambda: ":".join(pick("0123456789abcdef") + pick("0123456789abcdef") for _ in range(6)),
+        lambda: f"{n(5)}-{n(4)}", lambda: f"{n(1, 2)} {n(3)} {n(3)}", lambda: f"{n(4)} {n(4)}", lambda: f"{n(3)}-{n(4)}-{pick('XYZ')}{n(1)}", lambda: f"{n(1)}+{n(1)}={n(1, 2)}",
+    )
+    cues = {
+        "phone": ["call", "phone", "tel", "Tel.:", "fax", "mobile:", "ruf", "llama"], "email": ["mail", "email:", "write", "contact"],
+        "ip": ["host", "from", "ip", "address:", "server"], "card": ["card", "visa", "card:", "number"],
+    }
+    out: list[tuple[str, list[Span]]] = []
+    while len(out) < size:
+        text, found = "", []
+        for _ in range(int(random.integers(1, 6))):
+            text += "".join(word() + pick([" ", " ", " ", ", ", ". "]) for _ in range(int(random.integers(1, 5)) if random.random() < 0.5 else 0))
+            if random.random() < 0.4:
+                kind, make = pick(spans)
+                text += pick(cues[kind]) + " " if random.random() < 0.4 else ""
+                opening = pick(["", "", "", '"'])
+                made = make()
+                found.append((kind, len(text) + len(opening), len(text) + len(opening) + len(made)))
+                text += opening + made + opening + pick(["", "", ".", ","]) + " "
+            else:
+                text += pick(others)() + pick(["", "", ".", ","]) + " "
+        if set(base_spans(text)) <= set(found):
+            out.append((text, found))
+    return out
+
+
+def labelled_runs(rows: list[tuple[str, list[Span]]], *, whole: bool = True) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """The training table: distinct runs of words with the labels of the spans over them.
+
+    ``whole``: all words outside the spans are none. Otherwise only the words of the spans count, the word before hidden.
+    """
     table: dict[bytes, list] = {}
-    for text in texts:
+    hidden = int(_slots(np.zeros(1, np.uint64), FEATURES)[0])
+    for text, spans in rows:
         data, bounds = text_buffers(pa.array([text]))
         runs = word_runs(data, bounds)
         label = np.zeros(len(runs.starts), np.int64)
-        for kind, start, end in base_spans(text):
+        for kind, start, end in spans:
             a, b = len(text[:start].encode()), len(text[:end].encode())
-            label[(runs.starts < b) & (runs.ends > a)] = KINDS.index(kind) + 1
-        for a, b in zip(runs.bounds[:-1], runs.bounds[1:], strict=True):
+            first, last = int(np.searchsorted(runs.ends, a, side="right")), int(np.searchsorted(runs.starts, b))
+            label[first:last] = 2 * KINDS.index(kind) + 2
+            label[first : min(first + 1, last)] -= 1
+        cuts = runs.bounds
+        if not whole:
+            runs.slots[:, -1] = hidden
+            cuts = np.union1d(cuts, np.flatnonzero((label[1:] % 2 == 1) | ((label[1:] == 0) & (label[:-1] > 0))) + 1)
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if not whole and not label[a]:
+                continue
             for c in range(a, b, TRAINING_WORDS):
                 slots, truth = runs.slots[c : min(b, c + TRAINING_WORDS)], label[c : min(b, c + TRAINING_WORDS)]
                 entry = table.setdefault(slots.tobytes() + truth.tobytes(), [slots, truth, 0])
                 entry[2] += 1
-    rare = sorted(table.values(), key=lambda e: (not e[1].any(), -e[2], e[0].tobytes()))
-    return [(slots, truth, min(times, 20)) for slots, truth, times in rare[:TRAINING_RUNS]]
+    frequent = sorted(table.values(), key=lambda e: (-e[2], e[0].tobytes()))
+    return [(slots, truth, min(times, 20)) for slots, truth, times in frequent[:TRAINING_RUNS]]
 
 
 def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Chain:
-    """The chain, trained on a bounded sample of the texts with the smallest hashes."""
+    """The chain, trained on the labelled table and a bounded sample of the texts with the smallest hashes."""
     prepare(docs.sparkSession)
     source = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter(F.length("text") <= SAMPLE_CHARS)
     marked = source.filter(F.col("text").rlike("[0-9@]"))
-    texts = sorted(row.text for part in (source, marked) for row in sample(part, SAMPLE_ROWS // 2, "id", "text").collect())
-    return train(labelled_runs(texts))
+    texts = sorted(row.text for row in sample(marked, SAMPLE_ROWS, "id", "text").collect())
+    known = labelled_runs([(text, base_spans(text)) for text in texts], whole=False)
+    return train(labelled_runs(labelled_table(TABLE_ROWS, seed=17)) + known)
 
 
 _MARKED = np.isin(np.arange(256), list(b"0123456789@"))
@@ -309,8 +420,7 @@ def personal_data(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
                 for i in np.flatnonzero(marked[bounds[1:]] > marked[bounds[:-1]]):
                     dropped: list[Span] = []
                     found[int(i)] = base_spans(column[int(i)].as_py(), dropped)
-                    # a lone number is a trivial match of the card form and closes nothing
-                    closed[int(i)] = found[int(i)] + [s for s in dropped if s[2] - s[1] >= 13]
+                    closed[int(i)] = found[int(i)] + dropped
                 added = chain_spans(chain, data, bounds, closed)
                 counts = {kind: [sum(s[0] == kind for s in found.get(i, ())) for i in range(rows)] for kind in KINDS}
                 digests = [hashlib.sha256(joined(found[i]).encode()).hexdigest() if found.get(i) else nothing for i in range(rows)]
@@ -329,26 +439,32 @@ def personal_data(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
 
 
 def chain_spans(chain: Chain, data: np.ndarray, bounds: np.ndarray, closed: dict[int, list[Span]]) -> dict[int, list[Span]]:
-    """Spans of equal labels in a run that touch no closed span, in code points."""
+    """Spans of one kind in a run that touch no closed span, in code points."""
     runs = word_runs(data, bounds)
     if not len(runs.starts):
         return {}
     label = chain.decode(runs.slots, runs.bounds)
-    new = np.zeros(len(label), bool)
+    kind = (label + 1) // 2
+    new = label % 2 == 1
     new[runs.bounds[:-1]] = True
-    new[1:] |= label[1:] != label[:-1]
+    new[1:] |= kind[1:] != kind[:-1]
     at = np.flatnonzero(new)
     end = np.append(at[1:], len(label)) - 1
     out: dict[int, list[Span]] = {}
-    for a, b in zip(at[label[at] > 0], end[label[at] > 0], strict=True):
+    named = kind[at] > 0
+    if not named.any():
+        return out
+    points, covered = code_points(data), {}
+    for a, b in zip(at[named], end[named], strict=True):
         row = int(runs.row[a])
-        text = data[bounds[row] : bounds[row + 1]]
-        start = _code_points(text[: runs.starts[a] - bounds[row]])
-        stop = start + _code_points(data[runs.starts[a] : runs.ends[b]])
-        if all(e <= start or s >= stop for _, s, e in closed.get(row, ())):
-            out.setdefault(row, []).append((KINDS[label[a] - 1], start, stop))
+        first, last = int(runs.starts[a]), int(runs.ends[b])
+        while last > first and _AFTER[data[last - 1]]:
+            last -= 1
+        while first < last and _QUOTES[data[first]]:
+            first += 1
+        start, stop = (int(points[place] - points[bounds[row]]) for place in (first, last))
+        if row not in covered:
+            covered[row] = Covered(closed.get(row, []))
+        if start < stop and not covered[row](start, stop):
+            out.setdefault(row, []).append((KINDS[kind[a] - 1], start, stop))
     return out
-
-
-def _code_points(data: np.ndarray) -> int:
-    return int(np.count_nonzero((data & 0xC0) != 0x80))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.textbatch import passes, prepare, sample, spread, text_buffers
+from rankloom.llm.textbatch import Covered, code_points, passes, prepare, sample, spread, text_buffers
 
 KINDS = ("assign", "access", "hex", "other")
 #: Documents with a sign that secrets have, from which findings are taken, at most; and their longest text.
@@ -373,14 +373,12 @@ def _added(net: Network, data: np.ndarray, bounds: np.ndarray, base: dict[int, l
     hit = np.flatnonzero(net.probability(Findings(data, bounds, row, starts, ends)) >= net.threshold)
     if not len(hit):
         return out
-    points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+    points = code_points(data)
     for r in np.unique(row[hit]):
-        closed = np.array(sorted((start, end) for _, start, end in base.get(int(r), ())), np.int64).reshape(-1, 2)
-        reach = np.maximum.accumulate(closed[:, 1])
+        covered = Covered(base.get(int(r), []))
         for i in hit[np.searchsorted(row[hit], r) : np.searchsorted(row[hit], r, side="right")]:
             begin = int(points[starts[i]] - points[bounds[r]])
             end = begin + int(ends[i] - starts[i])
-            before = int(np.searchsorted(closed[:, 0], end))  # base spans that start before the end
-            if not before or reach[before - 1] <= begin:
+            if not covered(begin, end):
                 out.setdefault(int(r), []).append(("other", begin, end))
     return out

@@ -185,3 +185,20 @@ def gram_hashes(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.nda
 def spread(bounds: np.ndarray) -> np.ndarray:
     """Row number of every entry of a ragged array with these bounds."""
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+
+
+class Covered:
+    """Whether a span overlaps one of some (kind, start, end), by binary search."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]) -> None:
+        ordered = np.array(sorted((start, end) for _, start, end in spans), np.int64).reshape(-1, 2)
+        self.starts, self.reach = ordered[:, 0], np.maximum.accumulate(ordered[:, 1])
+
+    def __call__(self, start: int, end: int) -> bool:
+        before = int(np.searchsorted(self.starts, end))
+        return before > 0 and bool(self.reach[before - 1] > start)
+
+
+def code_points(data: np.ndarray) -> np.ndarray:
+    """Code points before every byte of UTF-8, and at the end."""
+    return np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))

@@ -124,7 +124,7 @@ def test_chain_against_enumeration():
     chain = pii.Chain(r.normal(size=(pii.SLOTS, 3)), r.normal(size=(3, 3)))
     sizes = [1, 4, 2, 5]
     bounds = np.concatenate(([0], np.cumsum(sizes)))
-    slots = r.integers(0, pii.SLOTS, (bounds[-1], 5))
+    slots = r.integers(0, pii.SLOTS, (bounds[-1], pii.FEATURES))
     got = chain.decode(slots, bounds)
     for a, b in zip(bounds[:-1], bounds[1:]):
         emit = chain.weights[slots[a:b]].sum(1)
@@ -149,12 +149,45 @@ def test_chain_finds_what_the_forms_miss():
         words = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 7))) for _ in range(6)]
         return " ".join([*words[:3], f"{plus}{r.randint(1, 9)} ({r.randint(100, 999)}) 555-{r.randint(1000, 9999)}", *words[3:]])
 
-    chain = pii.train(pii.labelled_runs([line("+") for _ in range(300)]))
+    chain = pii.train(pii.labelled_runs([(x, pii.base_spans(x)) for x in (line("+") for _ in range(300))]))
     data, bounds = text_buffers(pa.array([line("+") for _ in range(20)] + ["only plain words, nothing else here."]))
     found = pii.chain_spans(chain, data, bounds, {})
     assert set(found) == set(range(20)) and all(len(s) == 1 and s[0][0] == "phone" for s in found.values())
 
 
+def chain_score(chain, rows):
+    """Recall and precision of whole spans on labelled rows."""
+    data, bounds = text_buffers(pa.array([text for text, _ in rows]))
+    got = pii.chain_spans(chain, data, bounds, {})
+    found = {(i, *span) for i, spans in got.items() for span in spans}
+    want = {(i, *span) for i, (_, spans) in enumerate(rows) for span in spans}
+    return len(found & want) / len(want), len(found & want) / len(found)
+
+
+def test_chain_on_held_out_lines():
+    chain = pii.train(pii.labelled_runs(pii.labelled_table(pii.TABLE_ROWS, seed=17)))
+    recall, precision = chain_score(chain, pii.labelled_table(1_000, seed=18))
+    assert recall > 0.9 and precision > 0.9
+
+
+def test_words_outside_the_forms_are_not_labelled():
+    text = "call +1 (988) 555-2485 or 555-0100 now"
+    runs = pii.labelled_runs([(text, pii.base_spans(text))], whole=False)
+    assert len(runs) == 1 and runs[0][1].tolist() == [7, 8, 8] and len(set(runs[0][0][:, -1])) == 1
+
+
+def test_personal_data_no_form_covers(spark):
+    """Planted spans are added, look-alikes are not; a long row with very many spans ends."""
+    rows = [(i, text) for i, (text, _) in enumerate(pii.labelled_table(200, seed=29))]
+    rows += [(1000, "é " + "a@b.cd 555-123-4567 " * 20_000), (1001, "The and&&& on 2024-01-02 at 12:30, $12.50 (427) v1.2.3 |")]
+    got = {x["doc_id"]: x for x in pii.personal_data(brute.frame(spark, rows)).collect()}
+    want = {(i, f"{k}:{s}:{e}") for i, (_, spans) in enumerate(pii.labelled_table(200, seed=29)) for k, s, e in spans}
+    found = {(i, span) for i in range(200) for span in got[i]["spans"].split(",") if span}
+    assert len(found & want) > 0.85 * len(want) and len(found & want) > 0.85 * len(found)
+    assert sum(got[i]["n_added"] + sum(got[i][f"n_{kind}"] for kind in pii.KINDS) for i in range(200)) == len(found)
+    assert got[1000]["n_email"] == 20_000 and got[1000]["n_added"] == 20_000 and got[1001]["spans"] == ""
+
+
 def test_personal_data(spark):
     rows = ODD + [(20, "mail a.b@c.example.com, é 10.0.0.255 card 4444 3333 2222 1111 or +1 (988) 555-2485"), (21, "4444333322221112 300.1.1.1")]
     got = pii.personal_data(brute.frame(spark, rows)).collect()
