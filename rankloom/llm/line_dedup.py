@@ -1,8 +1,9 @@
 """Removal of repeated lines by a deletion-neighbourhood join.
 
-The unit is a line of at least ``min_words`` words, compared as its sequence of words (A-Z in lower
-case, any white space between them); the edit distance counts inserted, deleted and replaced
-words and its bound is 1. Every line emits hashes of all variants within the bound: itself and itself
+The unit is a line with a word, compared as its sequence of words (A-Z in lower
+case, any white space between them). For a line of at least ``min_words`` words the edit distance counts inserted, deleted and replaced
+words and its bound is 1; a shorter line, where one word is much of it, is a repeated line only when an earlier
+line has the same words (bound 0), and it is never near a longer one. Every longer line emits hashes of all variants within the bound: itself and itself
 without one word. Two lines are within the bound exactly when one equals a variant of the other or
 both give the same variant by a deletion at the same place, so the positions verify the distance.
 
@@ -10,16 +11,12 @@ An occurrence stays when it is the earliest (smallest doc_id, then line number)
 line that starts earlier is within the bound. The relation is not closed: a line goes if an earlier
 near line exists, even if that one goes too.
 
-With ``exact_words`` lines of fewer words, but at least that many, are repeated lines when an earlier
-line has the same words (bound 0); they and longer lines are never near each other.
-
 Only lines that can have a neighbour emit variants: two lines within the bound share their first or
 their last half (of the longer one's length less one word), so halves are counted first.
 
-Defined results: null and empty text, blank lines and lines of too few words stay as they are. Rows
-of one doc_id count as one document. Rows without doc_id stay unchanged and repeat nothing. Where
-every countable line of a text goes, the text becomes empty, its shorter lines included, unless
-``keep_rest`` is set. An empty table gives an empty result.
+Only repeated lines go: every other line, blank ones too, stays as it is. Defined results: null and empty text stay as
+they are. Rows of one doc_id count as one document. Rows without doc_id stay unchanged and repeat nothing. A text
+of which every line goes becomes empty. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,11 +39,10 @@ MIN_WORDS = 5
 #: Bytes of text per bucket. A word and its separator take two at least, so there are fewer entries than bytes.
 BUCKET_BYTES = 16 << 20
 _U = np.uint64
-_SPACE = "[\\x20\\x09-\\x0D]"
 
 
 class Lines:
-    """The countable lines of a pass: document row, line number, first and last word, prefix sums."""
+    """The lines of a pass with at least so many words: document row, line number, first and last word, prefix sums."""
 
     def __init__(self, column: pa.Array, min_words: int) -> None:
         data, bounds = text_buffers(column)
@@ -84,11 +80,11 @@ class Lines:
         return keys
 
 
-def _first_lines(least: int, min_words: int, buckets: int):
+def _first_lines(min_words: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in passes(batch):
-                lines = Lines(part.column(1), least)
+                lines = Lines(part.column(1), 1)
                 doc = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[lines.row]
                 h = lines.whole()
                 at = _earliest(h, doc, lines.number)
@@ -237,8 +233,8 @@ def _late_lines(c: Columns) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _rewrite(least: int, keep_rest: bool):
-    countable = re.compile(f"{_SPACE}*(?:[^\\x20\\x09-\\x0D]+{_SPACE}+){{{least - 1}}}[^\\x20\\x09-\\x0D]")
+def _rewrite():
+    word = re.compile(r"[^\x20\x09-\x0D]")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,15 +244,13 @@ def _rewrite(least: int, keep_rest: bool):
             ids = batch.column(names.index("_id")).to_pylist()
             for text, keep, doc in zip(texts, keeps, ids, strict=True):
                 lines = (text or "").split("\n")
-                long = [i for i, line in enumerate(lines) if countable.match(line)]
+                worded = [i for i, line in enumerate(lines) if word.search(line)]
                 stay = set(keep or ())
-                drop = {i for i in long if i not in stay} if doc is not None else set()
-                total.append(len(long))
+                drop = {i for i in worded if i not in stay} if doc is not None else set()
+                total.append(len(worded))
                 gone.append(len(drop))
                 if not drop:
                     out.append(text)
-                elif len(drop) == len(long) and not keep_rest:
-                    out.append("")
                 else:
                     out.append("\n".join(line for i, line in enumerate(lines) if i not in drop))
             columns = [batch.column(i) for i, name in enumerate(names) if name not in ("text", "_kept", "_id")]
@@ -269,24 +263,18 @@ def _rewrite(least: int, keep_rest: bool):
     return run
 
 
-def deduplicate_lines(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, exact_words: int | None = None,
-    keep_rest: bool = False,
-) -> DataFrame:
-    """``docs`` with repeated lines taken out of the text, plus ``n_lines`` (countable) and ``n_removed``.
+def deduplicate_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` with repeated lines taken out of the text, plus ``n_lines`` (lines with a word) and ``n_removed``.
 
-    Columns of these two names in ``docs`` are replaced. Lines of ``exact_words`` to ``min_words`` - 1
-    words are countable too, and repeated when equal (None: no such lines). With ``keep_rest`` only repeated lines go: a
-    text whose countable lines all go keeps its other lines.
+    Columns of these two names in ``docs`` are replaced.
     """
     spark = prepare(docs.sparkSession)
-    least = min(exact_words or min_words, min_words)
     source = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).filter("doc is not null")
     size = source.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
 
     names = ["h", "doc", "line", "k0", "k1", "k2", "k3"]
-    posted = source.mapInArrow(_first_lines(least, min_words, buckets), schema(names))
+    posted = source.mapInArrow(_first_lines(min_words, buckets), schema(names))
     types = {name: "<u8" for name in names} | {"doc": "<i8", "line": "<i4"}
     firsts = staged(
         by_bucket(posted, buckets, types, _first_of_all, "h long, doc long, line int, k0 long, k1 long, k2 long, k3 long"), "lines"
@@ -308,7 +296,7 @@ def deduplicate_lines(
     )
     kinds = dict(docs.dtypes)
     out = ", ".join([*(f"c{i} {kinds[c]}" for i, c in enumerate(others)), "text string", "_lines long", "_removed long"])
-    done = joined.mapInArrow(_rewrite(least, keep_rest), out)
+    done = joined.mapInArrow(_rewrite(), out)
     by_name = {c: F.col(f"c{i}").alias(c) for i, c in enumerate(others)} | {text: F.col("text").alias(text)}
     return done.select(
         *[by_name[c] for c in docs.columns if c in by_name], F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed")
@@ -317,39 +305,6 @@ def deduplicate_lines(
 
 #: (doc_id, n_lines, n_removed, text) in SQL, for unique ids.
 ORACLE = r"""
-WITH parts AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n
-  FROM documents
-), lines AS MATERIALIZED (
-  SELECT doc_id, n, line, list_filter(string_split_regex(
-    translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
-  FROM parts
-), firsts AS MATERIALIZED (
-  SELECT words, min({'d': doc_id, 'n': n}) AS place FROM lines WHERE len(words) >= 5 GROUP BY words
-), variants AS MATERIALIZED (
-  SELECT place, 0 AS pos, md5(array_to_string(words, ' ')) AS v FROM firsts
-  UNION ALL
-  SELECT place, i AS pos, md5(array_to_string(list_concat(words[1:i - 1], words[i + 1:]), ' ')) AS v
-  FROM (SELECT place, words, unnest(range(1, len(words) + 1)) AS i FROM firsts)
-), late AS (
-  SELECT place FROM (SELECT place, min(place) OVER (PARTITION BY v, pos) AS least FROM variants) WHERE least < place
-  UNION
-  SELECT greatest(a.place, b.place) FROM variants a JOIN variants b ON a.v = b.v AND a.pos = 0 AND b.pos > 0
-), marked AS (
-  SELECT l.doc_id, l.n, l.line, len(l.words) >= 5 AS long,
-    len(l.words) >= 5 AND (f.place <> {'d': l.doc_id, 'n': l.n} OR f.place IN (SELECT place FROM late)) AS gone
-  FROM lines l LEFT JOIN firsts f ON f.words = l.words
-), rebuilt AS (
-  SELECT doc_id, count(*) FILTER (WHERE long) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
-    string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone) AS rest
-  FROM marked GROUP BY doc_id
-)
-SELECT r.doc_id, n_lines, n_removed, CASE WHEN n_removed = 0 THEN d.text WHEN n_removed = n_lines THEN '' ELSE rest END AS text
-FROM rebuilt r JOIN documents d ON d.doc_id = r.doc_id
-"""
-
-#: The same columns where short lines are compared exactly (``exact_words=1``) and only repeated lines go (``keep_rest``).
-WHOLE_ORACLE = r"""
 WITH parts AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n
   FROM documents

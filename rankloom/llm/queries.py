@@ -14,7 +14,6 @@ from rankloom.llm.fill_middle import ORACLE as MIDDLE_SQL
 from rankloom.llm.fill_middle import digests, fill_in_middle
 from rankloom.llm.html_extract import main_text
 from rankloom.llm.line_dedup import ORACLE as LINES_SQL
-from rankloom.llm.line_dedup import WHOLE_ORACLE as WHOLE_LINES_SQL
 from rankloom.llm.line_dedup import deduplicate_lines
 from rankloom.llm.ngram_join import ORACLE as JACCARD_SQL
 from rankloom.llm.ngram_join import jaccard_components
@@ -62,13 +61,6 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_removed", "text")
 
 
-@query(WHOLE_LINES_SQL)
-def op6_line_dedup_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated lines of any length; what was not judged repeated stays."""
-    done = deduplicate_lines(table(spark, sf_dir, "documents"), exact_words=1, keep_rest=True)
-    return done.select("doc_id", "n_lines", "n_removed", "text")
-
-
 @query()
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -63,29 +63,30 @@ def linked(rows, size=5, percent=75):
 
 
 def line_dedup(rows, least=5):
-    """doc_id -> (text, countable lines, removed)."""
+    """doc_id -> (text, lines with a word, removed)."""
     first, places = {}, []
     for doc, text in sorted(rows, key=lambda r: r[0]):
         for i, line in enumerate((text or "").split("\n")):
             w = tuple(words(line))
-            if len(w) >= least:
+            if w:
                 places.append((doc, i, w))
                 first.setdefault(w, (doc, i))
     variants = defaultdict(list)
     for w, place in first.items():
-        variants[w].append((place, -1))
-        for i in range(len(w)):
-            variants[w[:i] + w[i + 1 :]].append((place, i))
+        if len(w) >= least:
+            variants[w].append((place, -1))
+            for i in range(len(w)):
+                variants[w[:i] + w[i + 1 :]].append((place, i))
     late = {p for group in variants.values() for p, i in group for q, j in group if q < p and (i == j or -1 in (i, j))}
     keep = {(doc, i) for doc, i, w in places if first[w] == (doc, i) and (doc, i) not in late}
-    long = defaultdict(list)
+    worded = defaultdict(list)
     for doc, i, _ in places:
-        long[doc].append(i)
+        worded[doc].append(i)
     out = {}
     for doc, text in rows:
-        drop = {i for i in long[doc] if (doc, i) not in keep}
+        drop = {i for i in worded[doc] if (doc, i) not in keep}
         rest = [line for i, line in enumerate((text or "").split("\n")) if i not in drop]
-        out[doc] = (text if not drop else "" if len(drop) == len(long[doc]) else "\n".join(rest), len(long[doc]), len(drop))
+        out[doc] = ("\n".join(rest) if drop else text, len(worded[doc]), len(drop))
     return out
 
 

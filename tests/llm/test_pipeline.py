@@ -48,6 +48,21 @@ def test_stages_against_plain_versions(spark):
     assert packed.select("doc_id").distinct().count() == clean.count()
 
 
+def test_line_stage_keeps_what_does_not_repeat(spark):
+    texts = ["one two three four five six", "one two three four five six\nonly here\nunique poem line", "One two three four five six", "only here", None]
+    docs = spark.createDataFrame([(i, t, None if t is None else len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, SF).collect()}
+    assert got == {0: (texts[0], 27), 1: ("only here\nunique poem line", 26), 4: (None, None)}
+
+
+def test_one_row_of_a_repeated_id_stays(spark):
+    """Rows of one id with different texts are one document: the row that comes first by its text stays."""
+    rows = [(7, "b b b b b b", "x"), (7, "a a a a a a", "y"), (9, "c d e f g h", None), (9, None, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {(r.doc_id, r.text, r.lang) for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF).collect()}
+    assert got == {(7, "a a a a a a", "y"), (9, "c d e f g h", None)}
+
+
 def test_stages_on_odd_and_empty_rows(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string, bucket int"
     odd = [(1, None, None, "s", None, "x", 1), (None, "a b c d e f", "en", None, 11, "x", 1), (2, "", "en", "s", 0, "x", 1),
@@ -78,5 +93,5 @@ def test_entry_without_the_subpackage(tmp_path):
 def test_registered():
     import __spark_entry__ as entry
 
-    assert {q.split("_")[0] for q in entry.queries() if q.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in entry.queries() if q.startswith("op")} == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in entry.queries()

@@ -140,15 +140,15 @@ def test_line_dedup_odd_rows(spark):
     assert line_dedup.deduplicate_lines(brute.frame(spark, [])).collect() == []
 
 
-def test_line_dedup_keeps_lines_that_were_not_compared(spark):
-    rows = [(1, "one line of many words"), (2, "one line of many words\nonly here\n\nand here"), (3, "One line of many words")]
-    got = {x["doc_id"]: x["text"] for x in line_dedup.deduplicate_lines(brute.frame(spark, rows), keep_rest=True).collect()}
-    assert got == {1: "one line of many words", 2: "only here\n\nand here", 3: ""}
+def test_line_dedup_keeps_lines_that_do_not_repeat(spark):
+    rows = [(1, "one line of many words"), (2, "one line of many words\nonly here\n\nunique poem line"), (3, "One line of many words")]
+    got = {x["doc_id"]: x["text"] for x in line_dedup.deduplicate_lines(brute.frame(spark, rows)).collect()}
+    assert got == {1: "one line of many words", 2: "only here\n\nunique poem line", 3: ""}
 
 
 def test_line_dedup_of_short_lines(spark):
     rows = [(1, "All rights reserved.\na b c d\n\na b c d e"), (2, "ALL rights  reserved.\na b c x\n\na b c d f"), (3, "無空白\n無空白\na b c d")]
-    done = line_dedup.deduplicate_lines(brute.frame(spark, rows), exact_words=1, keep_rest=True)
+    done = line_dedup.deduplicate_lines(brute.frame(spark, rows))
     got = {x["doc_id"]: (x["text"], x["n_lines"], x["n_removed"]) for x in done.collect()}
     assert got == {1: (rows[0][1], 3, 0), 2: ("a b c x\n", 3, 2), 3: ("無空白", 3, 2)}
 
