@@ -24,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their repeated lines; those of which no countable line is left go."""
+    """Documents without their repeated lines; those that lose lines and have no word left go."""
     done = deduplicate_lines(docs)
     kept = done.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
     if "n_chars" in docs.columns:
@@ -35,10 +35,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id, unchanged; rows without id stay.
 
-    Rows of one id count as one document, of which one row stays.
+    Rows of one id count as one document, of which the row that is first by its text (nulls last), then its other columns, stays.
     """
     chosen = jaccard_components(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    row = F.struct(F.isnull("text").alias("__null"), "text", *others)
+    rows = docs.join(chosen, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("row"))
+    named = rows.select("doc_id", *(F.col("row")[c].alias(c) for c in ("text", *others)))
     return named.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
 
 
