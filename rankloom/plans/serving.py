@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rankloom.operators import dispatch, hybrid, metrics, popularity, serve, topk
+from rankloom.operators import hybrid, metrics, popularity, serve, topk
 from rankloom.plans import views
 from rankloom.plans.registry import query
 from rankloom.plans.sql import metric_ctes, prefixed, scale_sql, with_views
@@ -266,20 +266,6 @@ def _(spark, sf):
     return serve.recommendation_listing(blanked, views.movies(spark, sf))
 
 
-@query("h18_model_dispatch", with_views("""
-SELECT 'popularity' AS family, user_id, rank, movie_id, CAST(11 - rank AS DOUBLE) AS raw_score FROM poprecs
-UNION ALL SELECT f.family, r.* FROM (SELECT unnest(['bpr', 'svd']) AS family) f CROSS JOIN
- (SELECT user_id, rank, movie_id, raw_score FROM facrecs WHERE user_id IN (SELECT user_id FROM train)
-  UNION ALL SELECT user_id, rank, movie_id, CAST(11 - rank AS DOUBLE) FROM poprecs WHERE user_id NOT IN (SELECT user_id FROM facrecs)) r"""))
-def _(spark, sf):
-    shop = FactorShop(spark, sf)
-    common = {"popular": staged(topk.ranked_items(shop.popularity), "popular"), "seen": shop.seen}
-    factors = {**common, "users": shop.user_factors, "items": shop.item_factors}
-    models = {"popularity": common, "bpr": factors, "svd": factors}
-    rows = [dispatch.recommend(f, m, shop.users, K, digits=6).select(F.lit(f).alias("family"), "*") for f, m in models.items()]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
-
-
 # ---- metrics
 
 METRIC_SQL = """users_evaluated, round(CAST(recall_at_k AS DOUBLE), 6) AS recall_at_k, round(CAST(map_at_k AS DOUBLE), 6) AS map_at_k,
