@@ -7,29 +7,36 @@ words under tiles is its coverage; tiles may come in any order, so a passage who
 moved about is covered all the same. A document is contaminated by each item with a coverage of
 ``percent`` / 100 or more.
 
-The benchmark goes to the executors in blocks of at most ``BLOCK_WORDS`` words, and all documents
-are read once for each block, so no text is shuffled and no block outgrows a worker.
+The distinct texts of the benchmark are written to the shared folder in blocks of about ``BLOCK_WORDS`` words,
+from where the workers read them: the driver sees their paths only, no document is shuffled and no block outgrows a
+worker. The documents are read once for each block. Found texts meet the items that have them in a join.
 
 Defined results: null counts as empty; a text or item of fewer than ``least`` words matches nothing;
 equal items are all reported; a repeated row is reported as often as it occurs; empty tables give an
-empty result. Columns of ``docs`` other than id and text are not read.
+empty result. Columns of ``docs`` other than id and text are not read; ids may have any type.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.llm.textbatch import gram_hashes, lowered, mix, passes, prepare, span_hashes, spread, text_buffers, word_spans
+from rankloom.llm.warc import store_of
+from rankloom.session import fresh_path, staged
 
 LEAST_WORDS = 5
 PERCENT = 75
 BLOCK_WORDS = 2_000_000
+#: Blocks that one job of ``decontaminate`` applies one after the other, each in a worker of its own.
+BLOCKS_PER_JOB = 4
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -145,15 +152,26 @@ def _pairs(block: Block, words: np.ndarray, first: np.ndarray, least: int, perce
     return out
 
 
-def blocks(benchmark: DataFrame, item_id: str, text: str, least: int) -> Iterator[Block]:
-    """The benchmark in blocks whose size is checked before they come to the driver."""
-    rows = benchmark.select(F.col(item_id).alias("item"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def stored_blocks(benchmark: DataFrame, text: str) -> tuple[DataFrame, list[str]]:
+    """The distinct texts with a number each (key, text), and the folders that hold them block by block."""
+    spark = benchmark.sparkSession
+    texts = benchmark.select(F.coalesce(F.col(text), F.lit("")).alias("text")).distinct()
+    numbered = staged(texts.withColumn("key", F.monotonically_increasing_id()), "benchmark")
+    size = numbered.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, -(-size // (BLOCK_WORDS * 6)))
-    for k in range(count):
-        part = rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == k).orderBy("item", "text").toArrow()
-        if part.num_rows:
-            yield make_block(part.column("item").to_pylist(), part.column("text").to_pylist(), least)
+    dealt = numbered.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(count)))
+    root = fresh_path(spark, "benchmark-blocks")
+    dealt.repartition("block").write.partitionBy("block").parquet(root)
+    numbers = sorted(r["block"] for r in dealt.select("block").distinct().collect())
+    return numbered, [f"{root}/block={n}" for n in numbers]
+
+
+@lru_cache(maxsize=1)
+def load_block(folder: str, least: int) -> Block:
+    """One block from the shared folder; a worker reads it once."""
+    store, path = store_of(folder)
+    rows = ds.dataset(path, filesystem=store, format="parquet").to_table(columns=["key", "text"])
+    return make_block(rows.column("key").to_pylist(), rows.column("text").to_pylist(), least)
 
 
 def benchmark_overlap(
@@ -162,12 +180,14 @@ def benchmark_overlap(
 ) -> DataFrame:
     """(doc_id, item_id, tiles, covered, item_words) of every contaminating pair."""
     spark = prepare(docs.sparkSession)
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    out = "doc_id long, item_id long, tiles int, covered long, item_words long"
+    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    out = f"doc_id {source.schema['doc_id'].dataType.simpleString()}, key long, tiles int, covered long, item_words long"
+    numbered, folders = stored_blocks(benchmark, item_text)
     found = spark.createDataFrame([], out)
-    for block in blocks(benchmark, item_id, item_text, least):
+    for folder in folders:
 
-        def run(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], folder: str = folder) -> Iterator[pa.RecordBatch]:
+            block = load_block(folder, least)
             sizes = np.diff(block.first)
             for batch in batches:
                 for part in passes(batch):
@@ -181,24 +201,29 @@ def benchmark_overlap(
                                 pa.array([p[3] for p in pairs], pa.int64()),
                                 pa.array([int(sizes[p[1]]) for p in pairs], pa.int64()),
                             ],
-                            names=["doc_id", "item_id", "tiles", "covered", "item_words"],
+                            names=["doc_id", "key", "tiles", "covered", "item_words"],
                         )
 
-        found = found.unionByName(source.mapInArrow(run, out))
-    return found
+        rows = source.mapInArrow(run, out)
+        # with several blocks each result is written before the next block is read
+        found = found.unionByName(staged(rows, "overlap") if len(folders) > 1 else rows)
+    items = benchmark.select(F.col(item_id).alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
+    keys = items.join(numbered, "text").select("key", "item_id")
+    return found.join(keys, "key").select("doc_id", "item_id", "tiles", "covered", "item_words")
 
 
 def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id",
+    docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     item_text: str = "text", least: int = LEAST_WORDS, percent: int = PERCENT,
 ) -> DataFrame:
     """The rows of ``docs`` that no benchmark item contaminates, unchanged."""
     prepare(docs.sparkSession)
     place, names = docs.columns.index(text), docs.columns
     plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
-    for block in blocks(benchmark, item_id, item_text, least):
+    for number, folder in enumerate(stored_blocks(benchmark, item_text)[1]):
 
-        def run(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], folder: str = folder) -> Iterator[pa.RecordBatch]:
+            block = load_block(folder, least)
             for batch in batches:
                 for part in passes(batch, f"c{place}"):
                     pairs = _pairs(block, *word_hashes(part.column(place)), least, percent)
@@ -206,5 +231,7 @@ def decontaminate(
                     clean[[p[0] for p in pairs]] = False
                     yield part.filter(pa.array(clean))
 
+        if number and number % BLOCKS_PER_JOB == 0:
+            plain = staged(plain, "plain")
         plain = plain.mapInArrow(run, plain.schema)
     return plain.toDF(*names)

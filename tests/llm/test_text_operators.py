@@ -196,6 +196,16 @@ def test_benchmark_overlap_of_empty_tables(spark):
     assert decontaminate.decontaminate(some, _benchmark(spark, [])).count() == len(ODD)
 
 
+def test_benchmark_overlap_of_text_ids_and_equal_items(spark):
+    docs = spark.createDataFrame([("x", "0 a b c d e f g"), ("x", "0 a b c d e f g"), (None, "A B C D E F G"), ("y", None)], "doc_id string, text string")
+    items = [("i", "a b c d e f g"), ("j", "a b c d e f g"), (None, "a b c d e f g"), ("k", None), ("l", "")]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    got = decontaminate.benchmark_overlap(docs, bench).collect()
+    wanted = [(d, i, 1, 7, 7) for d in ("x", "x", None) for i in ("i", "j", None)]
+    assert sorted(map(tuple, got), key=repr) == sorted(wanted, key=repr)
+    assert [r.doc_id for r in decontaminate.decontaminate(docs, bench).collect()] == ["y"]
+
+
 def test_tiling_equals_plain_tiling():
     r = random.Random(5)
     for _ in range(300):
