@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +118,57 @@ def test_cells_against_brute_force(spark, blocks):
         assert got[key] == pytest.approx(want[key])
 
 
+def test_users_are_shuffled_once_whatever_the_item_blocks(spark, monkeypatch):
+    """The kernel meets users and seen pairs, not a copy of every user for every item block."""
+    def counting(*_):
+        def run(key, cell):
+            row = {"user_id": key[0].as_py(), "variant": 0, "lo": float(cell.num_rows), "hi": 0.0, "ids": [0], "scores": [0.0]}
+            return pa.Table.from_pylist([row], schema=schema)
+
+        return run
+
+    schema = cells._RESULT
+    monkeypatch.setattr(cells, "_cell_kernel", counting)
+    users = spark.createDataFrame([(n, [1.0], 0.0) for n in range(2000)], "user_id long, factors array<double>, bias double")
+    items = spark.createDataFrame([(n, [1.0], 0.0) for n in range(60)], "movie_id long, factors array<double>, bias double")
+    seen = spark.createDataFrame([(1, 59)], "user_id long, movie_id long")
+    met = topk.factor_top_k(users, items, seen, 3, users_per_block=50, items_per_block=2).agg(F.sum("min_score")).first()[0]
+    assert met == 2001
+
+
+@pytest.mark.parametrize("sparse", [False, True])
+def test_scan_in_single_precision_equals_plain_scores(monkeypatch, sparse):
+    """Candidates of the inexact pass lose nothing: ties, near ties, seen pairs, users whose numbers are not finite."""
+    monkeypatch.setattr(cells, "SLICE_SCORES", 3000)
+    rng = np.random.default_rng(3)
+    n, m, k = 40, 700, 5
+    if sparse:
+        left = [np.sort(rng.choice(60, rng.integers(0, 12), replace=False)).tolist() for _ in range(n)]
+        right = [np.sort(rng.choice(60, rng.integers(0, 6), replace=False)).tolist() for _ in range(m)]
+        u = pa.table({"user_id": range(n), "user_terms": left, "user_weights": [rng.random(len(x)).tolist() for x in left]})
+        i = pa.table({"movie_id": range(m), "item_terms": right, "item_weights": [(1 + 1e-7 * rng.random(len(x))).tolist() for x in right]})
+        scorer = cells.sparse_scorer
+    else:
+        v = rng.normal(size=(m, 4)).round(1) + 1e-7 * rng.integers(0, 3, (m, 1))
+        w = rng.normal(size=(n, 4)).round(1)
+        w[7, 2] = np.nan
+        u = pa.table({"user_id": range(n), "user_vector": w.tolist(), "user_bias": [0.0] * n})
+        i = pa.table({"movie_id": range(m), "item_vector": v.tolist(), "item_bias": [0.5] * m})
+        scorer = cells.dense_scorer
+    rows, items = np.sort(rng.integers(0, n, 900)), rng.integers(0, m, 900)
+    found, whole = cells.Found(1, n, k), scorer(u)
+    parts = [whole(i.slice(at, 100).combine_chunks()) for at in range(0, m, 100)]
+    for part in parts:
+        cells._scan(part, found, rows, items, k, 6)
+    scores = np.round(np.concatenate([part.exact(0, n)[0] for part in parts], axis=1), 6)
+    scores[rows, items] = -np.inf
+    for user in range(n):
+        free = sorted((-s, b) for b, s in enumerate(scores[user]) if np.isfinite(s))
+        got = [(-s, b) for s, b in zip(found.scores[0, user], found.ids[0, user]) if s > -np.inf]
+        assert got == free[:k]
+        assert not free or found.low[user] == -free[-1][0]
+
+
 def test_ties_go_to_the_smaller_id():
     scores = np.array([[1.0, 3.0, 3.0, 3.0, -np.inf], [-np.inf] * 5])
     counts, columns, values = cells._best(scores, 2)
