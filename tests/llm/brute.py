@@ -175,7 +175,7 @@ def digest(spans):
 def pieces_of(word, vocabulary):
     """Greedy longest match of the marked word; 0 where it fails."""
     s, i, n = "▁" + word, 0, 0
-    longest = max(map(len, vocabulary))
+    longest = max(map(len, vocabulary), default=0)
     while i < len(s):
         j = next((j for j in range(min(len(s), i + longest), i, -1) if s[i:j] in vocabulary), None)
         if j is None:
