@@ -269,3 +269,18 @@ def test_small_scores_keep_their_order(spark):
     items = spark.createDataFrame([(1, [1.0], 0.0), (2, [3.0], 0.0)], "movie_id long, factors array<double>, bias double")
     none = spark.createDataFrame([], "user_id long, movie_id long")
     assert [r["movie_id"] for r in topk.factor_top_k(users, items, none, 2).orderBy("rank").collect()] == [2, 1]
+
+
+def test_popular_unseen_reads_gaps_of_histories(spark):
+    """Candidates are not written out and compared with all seen pairs; ids may be null, pairs and users repeat."""
+    items = spark.createDataFrame([(m, r) for r, m in enumerate([7, 3, None, 9, 1, 4], 1)], "movie_id long, item_rank long")
+    seen = spark.createDataFrame([(1, 7), (1, 7), (1, 9), (2, 5), (None, 7), (3, None), (8, 3), (4, 7), (4, 3), (4, 9), (4, 1), (4, 4)], "user_id long, movie_id long")
+    users = spark.createDataFrame([(1,), (1,), (2,), (3,), (4,), (None,)], "user_id long")
+    for head_rows in (2, 50):
+        recs = topk.popular_unseen(users, items, seen, 3, head_rows)
+        assert "LeftAnti" not in recs._jdf.queryExecution().optimizedPlan().toString()
+        found = {}
+        for r in recs.orderBy("user_id", "rank").collect():
+            found.setdefault(r["user_id"], []).append((r["rank"], r["movie_id"], r["item_rank"]))
+        first = [(1, 7, 1), (2, 3, 2), (3, None, 3)]
+        assert found == {None: first, 1: [(1, 3, 2), (2, None, 3), (3, 1, 5)], 2: first, 3: first, 4: [(1, None, 3)]}
