@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankloom.operators import bpr, clean, content, metrics, mf, popularity, topk
+from rankloom.operators.skew import spread
 
 
 @pytest.fixture(scope="module")
@@ -184,3 +185,14 @@ def test_registered_fits_use_the_settings_of_the_reference(spark, sf_dir, monkey
     assert found["h2_stochastic_factorization"][1] == dict(rank=100, epochs=25, rate=0.005, reg=0.02)
     grid = mf.candidate_grid(*found["h6_factor_search"][0][2:4])
     assert len(grid) == 4 * 3 * 4 * 3 + 1 and grid[-1] == dict(n_factors=100, n_epochs=25, lr_all=0.005, reg_all=0.02)
+
+
+def test_terms_of_dealt_documents_are_counted_without_a_shuffle_of_terms(spark):
+    """Ids may repeat or be null: their texts count as one document."""
+    rows = [(1, "aa bb aa"), (1, "bb cc"), (None, "aa"), (None, "aa dd"), (2, "dd"), (3, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = content.term_counts(spread(docs, "doc_id"), "doc_id")
+    assert counts._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted(counts.collect(), key=str) == sorted(content.term_counts(docs, "doc_id").collect(), key=str)
+    found = {r["term"]: (r["df"], r["corpus_count"]) for r in content.vocabulary(counts).collect()}
+    assert found == {"aa": (2, 4), "dd": (2, 2)}
