@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from rankloom.session import staged
 
 FLOOR = 1e-12
 
@@ -20,15 +22,16 @@ def normalize(counts: DataFrame, weight: str) -> DataFrame:
 def train_distribution(sources: list[DataFrame | None]) -> DataFrame:
     """Shares from the first source with rows.
 
-    Weight column by preference: exposure, interaction_count, score, else every item alike.
+    Weight column by preference: exposure, interaction_count, score, else every item alike. Shares read the weights for
+    their total and for the rows, so the weights are stored once.
     """
     chosen = None
     for source in sources:
         if source is None or "movie_id" not in source.columns:
             continue
         weight = next((c for c in ("exposure", "interaction_count", "score") if c in source.columns), None)
-        table = source if weight else source.withColumn("_one", F.lit(1.0))
-        chosen = normalize(table, weight or "_one")
+        weights = source.select("movie_id", (F.col(weight) if weight else F.lit(1.0)).alias("weight"))
+        chosen = normalize(staged(weights, "weights"), "weight")
         if not chosen.isEmpty():
             return chosen
     if chosen is None:
@@ -51,30 +54,34 @@ def production_distribution(logs: DataFrame) -> DataFrame:
     return normalize(served_counts(logs), "served")
 
 
-def divergence(train: DataFrame, production: DataFrame) -> DataFrame:
-    """Jensen-Shannon divergence (natural logarithm) over the union of items; 0 if a side is empty."""
+def _clipped(col: str) -> Column:
+    return F.least(F.greatest(F.coalesce(col, F.lit(0.0)), F.lit(FLOOR)), F.lit(1.0))
 
-    def clipped(col: str):
-        return F.least(F.greatest(F.coalesce(col, F.lit(0.0)), F.lit(FLOOR)), F.lit(1.0))
 
+def divergence(train: DataFrame, production: DataFrame) -> DataFrame:
+    """Jensen-Shannon divergence (natural logarithm) over the union of items; 0 if a side is empty."""
     pairs = (
         train.select("movie_id", F.col("p").alias("_p"))
         .join(production.select("movie_id", F.col("p").alias("_q")), "movie_id", "full")
-        .select(
-            clipped("_p").alias("p"),
-            clipped("_q").alias("q"),
-            F.col("_p").isNotNull().alias("in_train"),
-            F.col("_q").isNotNull().alias("in_production"),
-        )
+        .select("_p", "_q", F.lit(1).alias("_n"))
+    )
+    return divergence_of_pairs(pairs)
+
+
+def divergence_of_pairs(pairs: DataFrame) -> DataFrame:
+    """The same from rows (_p, _q, _n): ``_n`` items have these two shares, null where a side lacks them."""
+    held = pairs.select(
+        _clipped("_p").alias("p"), _clipped("_q").alias("q"), "_n",
+        F.col("_p").isNotNull().alias("in_train"), F.col("_q").isNotNull().alias("in_production"),
     )
-    sums = pairs.agg(F.struct(F.sum("p").alias("p"), F.sum("q").alias("q"))).scalar()
-    shares = pairs.withColumn("_s", sums).select(
-        (F.col("p") / F.col("_s.p")).alias("p"), (F.col("q") / F.col("_s.q")).alias("q"), "in_train", "in_production"
+    sums = held.agg(F.struct(F.sum(F.col("p") * F.col("_n")).alias("p"), F.sum(F.col("q") * F.col("_n")).alias("q"))).scalar()
+    shares = held.withColumn("_s", sums).select(
+        (F.col("p") / F.col("_s.p")).alias("p"), (F.col("q") / F.col("_s.q")).alias("q"), "_n", "in_train", "in_production"
     )
     middle = (F.col("p") + F.col("q")) / 2
     gain = (F.col("p") * F.log(F.col("p") / middle) + F.col("q") * F.log(F.col("q") / middle)) / 2
     both = F.coalesce(F.bool_or("in_train") & F.bool_or("in_production"), F.lit(False))
-    return shares.agg(F.when(both, F.sum(gain)).otherwise(0.0).alias("drift_score"))
+    return shares.agg(F.when(both, F.sum(gain * F.col("_n"))).otherwise(0.0).alias("drift_score"))
 
 
 def top_item_shift(train: DataFrame, production: DataFrame, n: int = 10) -> DataFrame:

@@ -52,7 +52,8 @@ def _(spark, sf):
 def _(spark, sf):
     """Divergence after the last micro-batch equals the batch value."""
     source, root = json_lines(spark, sf), fresh_path(spark, "drift")
-    share = staged(train_distribution([exposure_counts(views.train(spark, sf))]), "share")
+    exposure = staged(exposure_counts(views.train(spark, sf)), "exposure")
+    share = staged(train_distribution([exposure]), "share")
     run = state.track_drift(logs.log_stream(spark, source, 2), share, root, fresh_path(spark, "offsets"))
     run.awaitTermination()
     last = state.latest_version(spark, f"{root}/drift", run.lastProgress["batchId"] + 1)

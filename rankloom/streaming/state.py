@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rankloom.operators.drift import divergence, normalize, served_counts
+from rankloom.operators.drift import divergence_of_pairs, served_counts
 from rankloom.operators.feedback import merge_feedback, normalize_feedback
+from rankloom.session import remove
 from rankloom.sources.readers import path_exists
 
 
@@ -75,18 +76,55 @@ def compact(spark: SparkSession, root: str, target: str, now: int, tie_break: tu
     read_merged(spark, root, now, tie_break).write.mode("overwrite").parquet(f"{target}/base")
 
 
+#: A served item: how often, and its rows of the training share; null until they are looked up.
+_COUNTS = "movie_id long, served long, shares array<struct<p: double>>"
+
+
+def _pairs(counts: DataFrame, histogram: DataFrame) -> DataFrame:
+    """(_p, _q, _n) of all items: served ones a row each, the others by training share."""
+    total = counts.agg(F.sum("served")).scalar()
+    served = counts.select(F.explode_outer("shares").alias("_s"), (F.col("served") / total).alias("_q")).select(
+        F.col("_s.p").alias("_p"), "_q", F.lit(1).cast("long").alias("_n"), F.col("_s").isNotNull().alias("_shared")
+    )
+    gone = served.filter("_shared").select(F.col("_p").alias("p"), (-F.col("_n")).alias("_n"))
+    left = histogram.unionByName(gone).groupBy("p").agg(F.sum("_n").alias("_n")).filter("_n > 0")
+    return served.drop("_shared").unionByName(left.select(F.col("p").alias("_p"), F.lit(None).cast("double").alias("_q"), "_n"))
+
+
 def track_drift(stream: DataFrame, train_share: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Running served-item counts (one row per item) and, per micro-batch, their divergence from training."""
+    """Running served-item counts (one row per item) and, per micro-batch, their divergence from training.
+
+    An item's training share is looked up when it is first served and kept with its count. Items not served yet differ in
+    nothing but that share, so they enter as a histogram made once: shares of counts have few distinct values. A batch
+    costs what was served so far, not the training catalog. ``train_share`` is read for the histogram and for every batch with
+    new items: give it as a stored table.
+    """
+    histogram = f"{root}/histogram"
+    train_share.groupBy("p").agg(F.count(F.lit(1)).alias("_n")).write.mode("overwrite").parquet(histogram)
+    mine: set[str] = set()
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        counts = served_counts(batch)
-        old = latest_version(spark, f"{root}/counts", batch_id)
+        old, here = latest_version(spark, f"{root}/counts", batch_id), version_path(f"{root}/counts", batch_id)
+        counts = served_counts(batch).withColumn("shares", F.lit(None).cast("array<struct<p: double>>"))
         if old is not None:
-            counts = spark.read.parquet(old).unionByName(counts).groupBy("movie_id").agg(F.sum("served").alias("served"))
-        here = version_path(f"{root}/counts", batch_id)
+            before = spark.read.schema(_COUNTS).parquet(old)
+            # an earlier start may have had another training share
+            before = before if old in mine else before.withColumn("shares", F.lit(None).cast("array<struct<p: double>>"))
+            counts = before.unionByName(counts).groupBy("movie_id").agg(F.sum("served").alias("served"), F.max("shares").alias("shares"))
+        summed = version_path(f"{root}/summed", batch_id)
+        counts.write.mode("overwrite").parquet(summed)
+        counts = spark.read.schema(_COUNTS).parquet(summed)
+        new = counts.filter("shares is null").select("movie_id", "served")
+        if not new.isEmpty():
+            found = train_share.join(new, "movie_id").groupBy("movie_id").agg(F.collect_list(F.struct("p")).alias("_found"))
+            none = F.array().cast("array<struct<p: double>>")
+            looked_up = new.join(found, "movie_id", "left").select("movie_id", "served", F.coalesce("_found", none).alias("shares"))
+            counts = counts.filter("shares is not null").unionByName(looked_up)
         counts.write.mode("overwrite").parquet(here)
-        score = divergence(train_share, normalize(spark.read.parquet(here), "served"))
+        mine.add(here)
+        remove(spark, summed)
+        score = divergence_of_pairs(_pairs(spark.read.schema(_COUNTS).parquet(here), spark.read.parquet(histogram)))
         score.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(version_path(f"{root}/drift", batch_id))
 
-    return _each_batch(stream, checkpoint, step)
+    return _each_batch(stream.select("recommendations"), checkpoint, step)

@@ -117,3 +117,49 @@ def test_model_store_needs_meta(spark):
     model_store.save_model(path, {"a": spark.range(3)}, {"best_epoch": "2"})
     tables, meta = model_store.load_model(spark, path)
     assert tables["a"].count() == 3 and meta == {"best_epoch": "2"}
+
+
+def test_drift_stream_equals_batch_and_reads_the_share_for_new_items_only(spark):
+    """After every batch the divergence of all logs so far; an id with two shares, one without, a null id and a null share."""
+    source, root, offsets = fresh_path(spark, "l"), fresh_path(spark, "d"), fresh_path(spark, "o")
+    schema = "strategy string, recommendations array<long>"
+    served = [[10, 11], [10, 10], [11], [10, 99]]
+    rows = [(10, 0.25), (10, 0.15), (11, 0.3), (12, 0.1), (13, 0.1), (14, None), (None, 0.1)]
+    share = spark.createDataFrame(rows, "movie_id long, p double")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    def run():
+        seen = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(source)
+        state.track_drift(seen, share.mapInArrow(counted, share.schema), root, offsets).awaitTermination()
+
+    def want(n):
+        logs = spark.createDataFrame([("bpr", s) for s in served[:n]], schema)
+        return drift.divergence(share, drift.production_distribution(logs)).first()["drift_score"]
+
+    for items in served[:3]:
+        spark.createDataFrame([("bpr", items)], schema).coalesce(1).write.mode("append").json(source)
+    run()
+    assert read.value == 2 * len(rows)  # for the histogram and for the first batch
+    spark.createDataFrame([("bpr", served[3])], schema).coalesce(1).write.mode("append").json(source)
+    run()
+    got = [spark.read.parquet(state.version_path(f"{root}/drift", i)).first()["drift_score"] for i in range(4)]
+    last = {r["movie_id"]: r["served"] for r in spark.read.parquet(state.version_path(f"{root}/counts", 3)).collect()}
+    assert got[2:] == pytest.approx([want(3), want(4)], abs=1e-12) and last == {10: 4, 11: 2, 99: 1}
+
+
+def test_training_shares_read_their_source_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    table = spark.createDataFrame(EXPOSURE, "movie_id long, exposure long")
+    rows = drift.train_distribution([table.mapInArrow(counted, table.schema)]).collect()
+    assert read.value == len(EXPOSURE) and sum(r["p"] for r in rows) == pytest.approx(1.0)
