@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from rankloom import session
 from rankloom.functions import columns as cols
 from rankloom.operators import clean, quality, skew, split
 from rankloom.session import fresh_path
@@ -219,3 +220,25 @@ def test_scratch_removes_its_intermediates(spark):
         files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         assert files.exists(path)
     assert not files.exists(path) and spark.read.parquet(kept).count() == 5
+
+
+def test_a_task_reads_a_bounded_part_of_a_shuffle(spark):
+    """The default of adaptive execution is lowered, a smaller setting stays."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    try:
+        for given, want in (("64MB", f"{session.READ_BYTES}b"), ("1m", "1m")):
+            spark.conf.set(name, given)
+            session.configure(spark)
+            assert spark.conf.get(name) == want
+    finally:
+        spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("keep, want", [("latest", 5.0), ("first", 1.0)])
+def test_rows_of_equal_order_are_told_by_the_other_columns(spark, keep, want):
+    values = [3.0, 5.0, 2.0, 1.0, 4.0]
+    for rows in (values, values[::-1]):
+        df = spark.createDataFrame([(1, 7, r, 10) for r in rows], "user_id long, movie_id long, rating double, timestamp long").repartition(5)
+        kept = clean.dedup_interactions(df, ("user_id", "timestamp"), keep).collect()
+        assert [tuple(r) for r in kept] == [(1, 7, want, 10)]
