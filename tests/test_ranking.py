@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rankloom.operators import cells, eda, hybrid, metrics, mf, popularity, serve, topk
+from rankloom.operators import cells, content, eda, hybrid, metrics, mf, popularity, serve, topk
 
 TRAIN = [(1, 10, 5), (1, 11, 4), (1, 12, 2), (2, 10, 5), (2, 13, 4), (2, 14, 2), (3, 11, 5), (3, 13, 4), (3, 15, 2)]
 VAL = [(1, 13, 5), (2, 11, 5), (3, 10, 5)]
@@ -284,3 +284,28 @@ def test_popular_unseen_reads_gaps_of_histories(spark):
             found.setdefault(r["user_id"], []).append((r["rank"], r["movie_id"], r["item_rank"]))
         first = [(1, 7, 1), (2, 3, 2), (3, None, 3)]
         assert found == {None: first, 1: [(1, 3, 2), (2, None, 3), (3, 1, 5)], 2: first, 3: first, 4: [(1, None, 3)]}
+
+
+@pytest.mark.parametrize("skew", [{}, {"hot_floor": 3, "hot_share": 0.2}])
+def test_profiles_are_summed_after_the_deal_by_user(spark, skew):
+    """Against brute force, a hot user included. Entries of a user are not shuffled a second time."""
+    items = {1: {0: 0.6, 2: 0.8}, 2: {2: 1.0}, 3: {}, 4: {1: 0.28, 5: 0.96}}
+    rated = [(7, 1, 5.0), (7, 2, 4.0), (7, 4, 4.0), (7, 2, 5.0), (7, 9, 5.0), (8, 1, 2.0), (8, 4, 1.0), (9, 1, 1.0), (9, 2, 4.0), (5, 3, 5.0)]
+    ratings = spark.createDataFrame(rated, "user_id long, movie_id long, rating double")
+    packed = spark.createDataFrame([(m, sorted(e), [e[t] for t in sorted(e)]) for m, e in items.items()],
+                                   "movie_id long, item_terms array<long>, item_weights array<double>")
+    want = {}
+    for user, movie, rating in rated:
+        if rating >= 4 or user == 8:
+            for term, weight in items.get(movie, {}).items():
+                entries = want.setdefault(user, {})
+                entries[term] = entries.get(term, 0.0) + rating * weight
+    profiles = content.user_profiles(ratings, packed, **skew)
+    got = {r["user_id"]: dict(zip(r["user_terms"], r["user_weights"])) for r in profiles.collect()}
+    assert got.keys() == want.keys()
+    for user, entries in want.items():
+        norm = sum(w * w for w in entries.values()) ** 0.5
+        assert got[user] == pytest.approx({t: w / norm for t, w in entries.items()})
+    if not skew:
+        assert "hashpartitioning(user_id#" in (plan := profiles._jdf.queryExecution().toString()) and ", t#" not in "".join(
+            line for line in plan.splitlines() if "Exchange" in line)
