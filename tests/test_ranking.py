@@ -309,3 +309,16 @@ def test_profiles_are_summed_after_the_deal_by_user(spark, skew):
     if not skew:
         assert "hashpartitioning(user_id#" in (plan := profiles._jdf.queryExecution().toString()) and ", t#" not in "".join(
             line for line in plan.splitlines() if "Exchange" in line)
+
+
+def test_only_pairs_of_scored_users_are_dealt_to_cells(spark, factors, monkeypatch):
+    users, items, seen = factors
+    others = spark.createDataFrame([(u, m) for u in range(100, 150) for m in (10, 13)], "user_id long, movie_id long")
+    every = seen.unionByName(others)
+    few = topk.factor_top_k(users, items, every, 2)
+    assert "LeftSemi" in few._jdf.queryExecution().toString()
+    rows = sorted(map(tuple, few.collect()))
+    assert rows == sorted(map(tuple, topk.factor_top_k(users, items, seen, 2).collect())) and {r[0] for r in rows} == {1, 2}
+    monkeypatch.setattr(cells, "BROADCAST_USERS", 1)
+    many = topk.factor_top_k(users, items, every, 2)
+    assert "LeftSemi" not in many._jdf.queryExecution().toString() and sorted(map(tuple, many.collect())) == rows
