@@ -311,6 +311,31 @@ def test_profiles_are_summed_after_the_deal_by_user(spark, skew):
             line for line in plan.splitlines() if "Exchange" in line)
 
 
+def test_profiles_go_on_across_batches_without_unrolled_rows(spark):
+    """As the aggregate of unrolled entries has them, null ratings included; no row is made per entry."""
+    rated = [(u, m, None if (u, m) == (3, 2) else float(1 + (u * m) % 5)) for u in range(9) for m in range(1, 12)] + [(20, 1, 1.0), (20, 4, None)]
+    ratings = spark.createDataFrame(rated, "user_id long, movie_id long, rating double")
+    packed = spark.createDataFrame(
+        [(m, [t for t in range(12) if t % m == 0 and m != 7], [0.1 * (t + m) for t in range(12) if t % m == 0 and m != 7]) for m in range(1, 12)],
+        "movie_id long, item_terms array<long>, item_weights array<double>")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "3")
+    try:
+        profiles = content.user_profiles(ratings, packed, threshold=2.0)
+        got = {r["user_id"]: dict(zip(r["user_terms"], r["user_weights"])) for r in profiles.collect()}
+    finally:
+        spark.conf.set(name, before)
+    assert "Generate" not in profiles._jdf.queryExecution().toString()
+    liked = content.liked_ratings(ratings, 2.0).select("user_id", "movie_id", F.col("rating").alias("r"))
+    rows = content._summed_profiles(liked.join(packed, "movie_id")).collect()
+    want = {r["user_id"]: dict(zip(r["user_terms"], r["user_weights"])) for r in rows}
+    assert got.keys() == want.keys() and len(got) == 10
+    for user, entries in want.items():
+        assert list(got[user]) == sorted(entries)
+        assert [got[user][t] for t in sorted(entries)] == [w if w is None else pytest.approx(w) for _, w in sorted(entries.items())]
+
+
 def test_only_pairs_of_scored_users_are_dealt_to_cells(spark, factors, monkeypatch):
     users, items, seen = factors
     others = spark.createDataFrame([(u, m) for u in range(100, 150) for m in (10, 13)], "user_id long, movie_id long")
