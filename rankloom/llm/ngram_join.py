@@ -3,8 +3,9 @@
 Runs of words are ordered by document frequency, rarest first. Two documents whose sets overlap
 by at least ``need = ceil(threshold * n)`` share at least ``l`` of the first ``n - need + l`` runs
 of each, for every ``l``. Each document takes the ``l`` whose estimated cost is least: postings read
-plus candidates to verify, of which each needs ``l`` shared prefix runs. A pair is verified when it
-shares at least the smaller ``l`` of its two documents.
+plus candidates to verify, of which each needs ``l`` shared prefix runs. A pair of near sizes is verified when it
+shares at least the smaller ``l`` of its two documents and enough prefix runs for the overlap that their two sizes
+ask for, were all runs behind the prefix shared as well.
 
 Runs that occur in one document only fill a prefix without producing candidates, and a document
 with too few other runs has no partner, so after one exchange of hashes only documents that may
@@ -30,7 +31,7 @@ from rankloom.llm.graph import components
 from rankloom.llm.textbatch import (
     gram_hashes, lowered, mix, passes, prepare, span_hashes, spread, text_buffers, word_spans,
 )
-from rankloom.session import staged
+from rankloom.session import dropped_shuffles, staged
 
 WORDS = 5
 PERCENT = 75
@@ -302,13 +303,13 @@ def _postings(percent: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts: list[tuple] = []
+            parts: list[tuple] = []  # class, label, matches, prefix, size
             for k, n, runs, dfs, label in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 df = np.frombuffer(dfs, _I32)
                 matches = adaptive_matches(n, df, percent)
                 need = (n * percent + 99) // 100
                 prefix = np.frombuffer(runs, _U64)[: n - need + matches - (n - len(df))]
-                parts.append((k, label if label is not None else k, matches, prefix))
+                parts.append((k, label if label is not None else k, matches, prefix, n))
             if not parts:
                 continue
             sizes = [len(p[3]) for p in parts]
@@ -320,6 +321,7 @@ def _postings(percent: int, buckets: int):
                     "k": np.repeat(np.array([p[0] for p in parts], np.int64), sizes),
                     "label": np.repeat(np.array([p[1] for p in parts], np.int64), sizes),
                     "l": np.repeat(np.array([p[2] for p in parts], np.int32), sizes),
+                    "n": np.repeat(np.array([p[4] for p in parts], np.int32), sizes),
                 },
             )
 
@@ -392,22 +394,35 @@ def _best_star(c: Columns) -> Iterator[pa.RecordBatch]:
 _CHUNK = 1 << 20
 
 
-def _crosses(buckets: int):
-    """All pairs of a list whose labels differ, counted per pair within the bucket."""
+def shared_prefix(n: np.ndarray, m: np.ndarray, l: np.ndarray, o: np.ndarray, percent: int) -> np.ndarray:
+    """Prefix runs that linked sets of ``n`` and ``m`` runs share at least, for demands ``l`` and ``o``.
+
+    Of the two prefixes one ends first in the common order. What the sets share up to there lies in both prefixes; what they
+    share after it is among the ``need - l`` runs behind that prefix.
+    """
+    overlap = -(-percent * (n.astype(np.int64) + m) // (100 + percent))
+    behind = np.maximum(_need(n, percent) - l, _need(m, percent) - o)
+    return np.maximum(overlap - behind, np.minimum(l, o))
+
+
+def _crosses(buckets: int, percent: int):
+    """All pairs of a list whose labels differ and whose sizes allow a link, counted per pair within the bucket."""
 
     def work(c: Columns) -> Iterator[pa.RecordBatch]:
         order, start, end = _lists(c, c["label"].view(np.uint64))
-        label, k, l = c["label"][order], c["k"][order], c["l"][order]
+        label, k, l, n = c["label"][order], c["k"][order], c["l"][order], c["n"][order].astype(np.int64)
         left: list[np.ndarray] = []
         right: list[np.ndarray] = []
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             i, j = np.concatenate(left), np.concatenate(right)
+            near = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+            i, j = i[near], j[near]
             swap = k[i] > k[j]
             i, j = np.where(swap, j, i), np.where(swap, i, j)
             pairs, count = _pair_counts(k[i], k[j])
-            asked = _first_of(k[i], k[j], np.minimum(l[i], l[j]))
+            asked = _first_of(k[i], k[j], shared_prefix(n[i], n[j], l[i], l[j], percent))
             bucket = (mix(mix(pairs[:, 0].view(np.uint64)) + pairs[:, 1].view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
             yield from scatter(bucket, {"a": pairs[:, 0], "b": pairs[:, 1], "count": count.astype(np.int32), "l": asked})
 
@@ -440,7 +455,7 @@ def _first_of(a: np.ndarray, b: np.ndarray, value: np.ndarray) -> np.ndarray:
 
 
 def _matched(c: Columns) -> Iterator[pa.RecordBatch]:
-    """Pairs that share as many prefix runs as the smaller demand of the two."""
+    """Pairs that share as many prefix runs as a link asks of them."""
     order = np.lexsort((c["b"], c["a"]))
     a, b = c["a"][order], c["b"][order]
     new = np.ones(len(a), bool)
@@ -486,34 +501,35 @@ def jaccard_components(
     ``percent`` / 100 or more; component_id is the smallest id reachable by links.
     """
     spark = prepare(docs.sparkSession)
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    classes = staged(source.mapInArrow(_classes(words, "doc_id", "text"), _CLASS), "classes")
-    seen = classes.agg(F.count(F.lit(1)).alias("docs"), F.sum("n_shingles").alias("runs")).first()
-    runs = seen["runs"] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-runs // BUCKET_ENTRIES))
-    hot, times = _hot_runs(classes, seen["docs"], runs, buckets)
-
-    posted = source.select("text").mapInArrow(_to_runs(words, "text", buckets, hot), schema(["k", "n", "len", "low", "high", "run"]))
-    counted = by_bucket(posted, buckets, None, _count_runs(buckets, hot, times), schema(["k", "n", "len", "run", "df"]))
-    profiles = staged(
-        by_bucket(counted, buckets, {"k": _U64, "n": _I32, "len": _I32, "run": _U64, "df": _I32}, _profiles(percent), _PROFILE),
-        "profiles",
-    )
+    with dropped_shuffles(spark):
+        source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+        classes = staged(source.mapInArrow(_classes(words, "doc_id", "text"), _CLASS), "classes")
+        seen = classes.agg(F.count(F.lit(1)).alias("docs"), F.sum("n_shingles").alias("runs")).first()
+        runs = seen["runs"] or 0
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-runs // BUCKET_ENTRIES))
+        hot, times = _hot_runs(classes, seen["docs"], runs, buckets)
+
+        posted = source.select("text").mapInArrow(_to_runs(words, "text", buckets, hot), schema(["k", "n", "len", "low", "high", "run"]))
+        counted = by_bucket(posted, buckets, None, _count_runs(buckets, hot, times), schema(["k", "n", "len", "run", "df"]))
+        profiles = staged(
+            by_bucket(counted, buckets, {"k": _U64, "n": _I32, "len": _I32, "run": _U64, "df": _I32}, _profiles(percent), _PROFILE),
+            "profiles",
+        )
 
-    entries = {"run": _U64, "k": _I64, "label": _I64, "l": _I32}
-    alone = profiles.select("class", "n", "runs", "dfs", F.lit(None).cast("long").alias("component"))
-    postings = alone.mapInArrow(_postings(percent, buckets), schema(["run", "k", "label", "l"]))
-    met = by_bucket(postings, buckets, entries, _stars(buckets), schema(["a", "b", "count", "turn"]))
-    stars = by_bucket(met, buckets, {"a": _I64, "b": _I64, "count": _I32, "turn": _I32}, _best_star, "a long, b long")
-    links = staged(_linked(stars, profiles, percent), "links")
-    labels = components(links)
-
-    labelled = profiles.join(labels, F.col("class") == F.col("node"), "left").select("class", "n", "runs", "dfs", "component")
-    postings = labelled.mapInArrow(_postings(percent, buckets), schema(["run", "k", "label", "l"]))
-    met = by_bucket(postings, buckets, entries, _crosses(buckets), schema(["a", "b", "count", "l"]))
-    crosses = by_bucket(met, buckets, {"a": _I64, "b": _I64, "count": _I32, "l": _I32}, _matched, "a long, b long")
-    found = staged(_linked(crosses, profiles, percent), "links")
-    labels = components(links.unionByName(found))
+        entries = {"run": _U64, "k": _I64, "label": _I64, "l": _I32, "n": _I32}
+        alone = profiles.select("class", "n", "runs", "dfs", F.lit(None).cast("long").alias("component"))
+        postings = alone.mapInArrow(_postings(percent, buckets), schema(["run", "k", "label", "l", "n"]))
+        met = by_bucket(postings, buckets, entries, _stars(buckets), schema(["a", "b", "count", "turn"]))
+        stars = by_bucket(met, buckets, {"a": _I64, "b": _I64, "count": _I32, "turn": _I32}, _best_star, "a long, b long")
+        links = staged(_linked(stars, profiles, percent), "links")
+        labels = components(links)
+
+        labelled = profiles.join(labels, F.col("class") == F.col("node"), "left").select("class", "n", "runs", "dfs", "component")
+        postings = labelled.mapInArrow(_postings(percent, buckets), schema(["run", "k", "label", "l", "n"]))
+        met = by_bucket(postings, buckets, entries, _crosses(buckets, percent), schema(["a", "b", "count", "l"]))
+        crosses = by_bucket(met, buckets, {"a": _I64, "b": _I64, "count": _I32, "l": _I32}, _matched, "a long, b long")
+        found = staged(_linked(crosses, profiles, percent), "links")
+        labels = components(links.unionByName(found))
 
     named = (
         classes.join(labels, F.col("class") == F.col("node"), "left")

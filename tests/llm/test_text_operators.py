@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +11,7 @@ import pytest
 
 import brute
 from rankloom.llm import decontaminate, exact_dedup, line_dedup, ngram_join, textbatch, token_counts
+from rankloom.llm.exchange import gather
 
 ODD = [
     (1, "Same text here, in five words"), (2, "Same  text here,\tin five words\n"), (3, None), (4, ""), (5, " \n\t "),
@@ -215,6 +217,32 @@ def test_tiling_equals_plain_tiling():
         assert got == brute.tiles(test, doc, 3)
 
 
+def test_pairs_to_verify_share_what_their_sizes_ask():
+    """Every link is among them; sets of one pool that overlap too little are not."""
+    r = random.Random(7)
+    pool = [r.getrandbits(63) for _ in range(190)]
+    sets = [set(r.sample(pool, r.choice((70, 80, 84)))) for _ in range(60)]
+    for base in sets[:20]:
+        gone = r.sample(sorted(base), r.randint(1, 12))
+        sets.append(base - set(gone) | {r.getrandbits(63) for _ in range(r.randint(0, 6))})
+    df = Counter(t for s in sets for t in s)
+    rows = []
+    for k, s in enumerate(sets):
+        runs = sorted((t for t in s if df[t] > 1), key=lambda t: (df[t], t))
+        rows.append((k, len(s), np.array(runs, "<u8").tobytes(), np.array([df[t] for t in runs], "<i4").tobytes(), None))
+    names = ["class", "n", "runs", "dfs", "component"]
+    batch = pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], pa.int64() if i == 4 else None) for i in range(5)], names=names)
+    posted = list(ngram_join._postings(75, 1)(iter([batch])))
+    entries = gather(pa.Table.from_batches(posted), {"run": "<u8", "k": "<i8", "label": "<i8", "l": "<i4", "n": "<i4"})
+    counted = pa.Table.from_batches(list(ngram_join._crosses(1, 75)(entries)))
+    pairs = pa.Table.from_batches(list(ngram_join._matched(gather(counted, {"a": "<i8", "b": "<i8", "count": "<i4", "l": "<i4"}))))
+    got = set(zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()))
+    shared = {(a, b): len(sets[a] & sets[b]) for a in range(len(sets)) for b in range(a + 1, len(sets))}
+    links = {(a, b) for (a, b), n in shared.items() if 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n)}
+    assert len(links) > 15 and links <= got
+    assert len(got) < len(shared) // 5, (len(got), len(links), len(shared))
+
+
 def test_automaton_equals_greedy_match():
     r = random.Random(1)
     for _ in range(200):
