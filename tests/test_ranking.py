@@ -347,3 +347,57 @@ def test_only_pairs_of_scored_users_are_dealt_to_cells(spark, factors, monkeypat
     monkeypatch.setattr(cells, "BROADCAST_USERS", 1)
     many = topk.factor_top_k(users, items, every, 2)
     assert "LeftSemi" not in many._jdf.queryExecution().toString() and sorted(map(tuple, many.collect())) == rows
+
+
+def sparse_world(seed=5, n=60, m=640, terms=48):
+    """Items in eight families of terms; every user knows terms of one family, and a term that some items of all families have."""
+    rng = np.random.default_rng(seed)
+    family = np.arange(m) % 8
+    right = [sorted({*(1 + 6 * f + rng.choice(5, 2, replace=False)), *([0] if rng.random() < 0.5 else [])}) for f in family]
+    left = [sorted({0, *(1 + 6 * (u % 8) + rng.choice(5, 3, replace=False))}) for u in range(n)]
+    weights = lambda rows: [rng.integers(1, 4, len(x)).astype(float).tolist() for x in rows]
+    users = pa.table({"user_id": range(n), "user_terms": [[int(t) for t in x] for x in left], "user_weights": weights(left)})
+    items = pa.table({"movie_id": range(m), "item_terms": [[int(t) for t in x] for x in right], "item_weights": weights(right)})
+    pairs = sorted({(int(a), int(b)) for a, b in zip(rng.integers(0, n, 2000), rng.integers(0, m, 2000))})
+    dense = [np.zeros((len(t), terms)) for t in (users, items)]
+    for matrix, table, side in zip(dense, (users, items), ("user", "item")):
+        for row, r in enumerate(table.to_pylist()):
+            matrix[row, r[f"{side}_terms"]] = r[f"{side}_weights"]
+    scores = dense[0] @ dense[1].T
+    scores[tuple(np.array(pairs).T)] = np.nan
+    want = []
+    for row in scores:
+        free = np.flatnonzero(~np.isnan(row))
+        best = free[np.lexsort((free, -row[free]))][:5]
+        want.append(([(int(b), float(row[b])) for b in best], float(row[free].min()), float(row[free].max())))
+    return users, items, pairs, want
+
+
+@pytest.mark.parametrize("size", [(30, 640), (100, 100)])
+def test_similarity_lists_in_groups_against_brute_force(spark, size):
+    users, items, pairs, want = sparse_world()
+    tables = [spark.createDataFrame(t.to_pandas()) for t in (users, items)]
+    seen = spark.createDataFrame(pairs, "user_id long, movie_id long")
+    for ranged in (True, False):
+        rows = content.similar_top_k(*tables, seen, 5, 6, ranged=ranged, users_per_block=size[0], items_per_block=size[1]).collect()
+        assert ("min_score" in rows[0]) == ranged
+        for user, (best, low, high) in enumerate(want):
+            mine = sorted((r for r in rows if r["user_id"] == user), key=lambda r: r["rank"])
+            assert [(r["movie_id"], r["raw_score"]) for r in mine] == best
+            assert not ranged or {(r["min_score"], r["max_score"]) for r in mine} == {(low, high)}
+
+
+def test_groups_out_of_reach_are_not_multiplied(monkeypatch):
+    """Items stored by their terms: a user meets the groups of own terms only, and finds the same."""
+    users, items, pairs, want = sparse_world()
+    rows, seen = (np.array(c) for c in zip(*pairs))
+    place = np.lexsort((np.arange(items.num_rows), np.arange(items.num_rows) % 8))
+    items = items.append_column("place", pa.array(np.argsort(place)))
+    met, hits = [], cells.Tile.hits
+    monkeypatch.setattr(cells.Tile, "hits", lambda self, todo, *a, **k: met.append(int(todo.sum())) or hits(self, todo, *a, **k))
+    found, block = cells.Found(1, users.num_rows, 5), cells.sparse_scorer(users)(items)
+    block.ranged = False
+    cells._scan(block, found, rows, seen, 5, 6)
+    for user, (best, _low, _high) in enumerate(want):
+        assert list(zip(found.ids[0, user].tolist(), found.scores[0, user].tolist())) == best
+    assert 0 < sum(met) <= users.num_rows * block.groups / 4
