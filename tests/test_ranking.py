@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rankloom.operators import cells, content, eda, hybrid, metrics, mf, popularity, serve, topk
+from rankloom.operators import cells, content, dispatch, eda, hybrid, metrics, mf, popularity, serve, topk
 
 TRAIN = [(1, 10, 5), (1, 11, 4), (1, 12, 2), (2, 10, 5), (2, 13, 4), (2, 14, 2), (3, 11, 5), (3, 13, 4), (3, 15, 2)]
 VAL = [(1, 13, 5), (2, 11, 5), (3, 10, 5)]
@@ -401,3 +401,35 @@ def test_groups_out_of_reach_are_not_multiplied(monkeypatch):
     for user, (best, _low, _high) in enumerate(want):
         assert list(zip(found.ids[0, user].tolist(), found.scores[0, user].tolist())) == best
     assert 0 < sum(met) <= users.num_rows * block.groups / 4
+
+
+def test_dense_lists_without_range_leave_out_items_of_low_bias(monkeypatch):
+    """Items whose bias and length cannot reach a list are not multiplied: later blocks shrink, lists stay those of all scores."""
+    rng = np.random.default_rng(11)
+    n, m = 50, 800
+    w, v, b = rng.normal(size=(n, 4)) * 0.2, rng.normal(size=(m, 4)) * 0.2, rng.normal(size=m).round(1)
+    users = cells.DenseUsers(w, np.zeros(n))
+    wide, some = [], cells.DenseBlock.guess_some
+    monkeypatch.setattr(cells.DenseBlock, "guess_some", lambda self, start, stop, at: wide.append(len(at)) or some(self, start, stop, at))
+    rows, items = np.sort(rng.integers(0, n, 500)), rng.integers(0, m, 500)
+    found = cells.Found(1, n, 5)
+    for at in range(0, m, 200):
+        block = cells.DenseBlock(users, np.arange(at, at + 200), v[at : at + 200], b[at : at + 200])
+        block.ranged = False
+        cells.scan(block, found, rows, items, 5, None)
+    scores = w @ v.T + b
+    scores[rows, items] = -np.inf
+    for user in range(n):
+        assert found.ids[0, user].tolist() == sorted(range(m), key=lambda i: (-scores[user, i], i))[:5]
+    assert len(wide) == 3 and max(wide) <= 100
+
+
+def test_families_are_served_without_score_ranges(spark, factors, monkeypatch):
+    users, items, seen = factors
+    asked, popular = users.select("user_id"), items.select("movie_id", F.col("movie_id").alias("item_rank"))
+    model = {"users": users, "items": items, "seen": seen, "popular": popular}
+    met, plain = [], dispatch.factor_top_k
+    monkeypatch.setattr(dispatch, "factor_top_k", lambda *a, **k: met.append(plain(*a, **k)) or met[-1])
+    rows = dispatch.recommend("bpr", model, asked, 2).collect()
+    want = topk.factor_top_k(users, items, seen, 2).select("user_id", "rank", "movie_id", "raw_score").collect()
+    assert met[0].columns == ["user_id", "rank", "movie_id", "raw_score"] and set(want) <= set(rows)
